@@ -1,0 +1 @@
+"""Intentionally empty: the feature set is batch on demand, with no stream."""
