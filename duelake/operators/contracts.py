@@ -138,23 +138,26 @@ def struct_lookup(parent: Column, dtype: T.DataType) -> Lookup:
 
 
 def validate(df: DataFrame, contract: Contract, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Typed contract columns, the carried columns, the errors, and the original.
+    """The carried columns, typed contract columns, the errors, and the original.
 
     ``original_payload`` is the record as landed, as JSON, kept for rows with
     errors only.
+
+    The record is built as one struct and inlined, one row in and one row out.
+    As plain columns, a filter on the errors would be pushed below them, and
+    the optimizer's constraint inference would then try every combination of
+    the casts that both the filter and the columns contain.
     """
     lookup = frame_lookup(df)
     given = [F.col(f"`{c}`") for c in contract.columns if c in df.columns]
-    errors = contract.errors(lookup)
-    return (
-        df.withColumn(ERRORS, errors)
-        .select(
-            *carry,
-            *contract.record(lookup),
-            ERRORS,
-            F.when(F.size(ERRORS) > 0, F.to_json(F.struct(*given), {"ignoreNullFields": "false"})).alias("original_payload"),
-        )
+    checked = df.withColumn(ERRORS, contract.errors(lookup))
+    original = F.to_json(F.struct(*given), {"ignoreNullFields": "false"})
+    record = F.struct(
+        *contract.record(lookup),
+        F.col(ERRORS),
+        F.when(F.size(ERRORS) > 0, original).alias("original_payload"),
     )
+    return checked.select(*carry, F.inline(F.array(record)))
 
 
 def accepted(flagged: DataFrame) -> DataFrame:

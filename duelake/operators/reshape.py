@@ -69,17 +69,16 @@ def action_list(lists: Mapping[str, str]) -> Column:
 
     ``lists`` maps array column to action type, in the order actions count.
     """
-    tagged = [
-        F.transform(
-            F.coalesce(F.col(column), F.array().cast("array<struct<team:string,map:string>>")),
-            lambda item, kind=kind: F.struct(
-                F.lit(kind).alias("action_type"),
-                F.coalesce(item["team"], F.lit(UNKNOWN)).alias("team"),
-                item["map"].alias("map"),
-            ),
+    none = F.array().cast("array<struct<team:string,map:string>>")
+
+    def tag(kind: str):
+        return lambda item: F.struct(
+            F.lit(kind).alias("action_type"),
+            F.coalesce(item["team"], F.lit(UNKNOWN)).alias("team"),
+            item["map"].alias("map"),
         )
-        for column, kind in lists.items()
-    ]
+
+    tagged = [F.transform(F.coalesce(F.col(column), none), tag(kind)) for column, kind in lists.items()]
     return F.concat(*tagged)
 
 

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from duelake.operators.keys import Split
 from duelake.plans import bronze, gold, silver
 from duelake.plans.bronze import Landing, Scope
-from duelake.record_types import QUARANTINED, RECORD_TYPES
+from duelake.record_types import QUARANTINED, RECORD_TYPES, raw_schema
 from duelake.registry import GOLD, LEGACY_PARTITIONS, SILVER
 from duelake.session import require_ansi
 from duelake.sinks.records import last_accepted, stage_flagged, write_keyed, write_quarantine, write_violations
 from duelake.sinks.tables import ensure_database, publish, rebuild
 from duelake.sources.catalog import build_if_available, register_silver_views
-from duelake.sources.landed import ORIGIN, raw_frames, read_keyed, run_folders, raw_path, read_single_objects
-from duelake.record_types import raw_schema
+from duelake.sources.files import run_folders
+from duelake.sources.landed import ORIGIN, raw_frames, raw_path, read_keyed, read_single_objects
 
 
 def _now() -> str:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from duelake.operators.contracts import ERRORS, accepted, rejected
 from duelake.operators.keys import keep_last
 from duelake.sinks.tables import counted
-from duelake.sources.landed import delete_path, raw_path
+from duelake.sources.files import delete_path
+from duelake.sources.landed import raw_path
 
 
 def stage_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:

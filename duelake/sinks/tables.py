@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duelake.registry import GOLD, SILVER
+from duelake.sources.files import delete_path
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -43,6 +45,23 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").select("data_type").first()
+    return found[0] if found else None
+
+
+def _point_at(spark: SparkSession, name: str, df: DataFrame, path: str, partitions: Sequence[str], fmt: str) -> None:
+    """Make ``name`` the table over the files at ``path``."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    split = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}{split} LOCATION '{path}'")
+    if partitions:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
 def publish(
     spark: SparkSession,
     name: str,
@@ -52,11 +71,14 @@ def publish(
     skip_empty: bool = True,
     fmt: str = "parquet",
 ) -> int:
-    """Replace table ``name`` by ``df`` and return the rows written.
+    """Replace table ``database.table`` by ``df`` and return the rows written.
+
+    The rows go to a new folder of the database first; the table is pointed at
+    it only when the write has succeeded, so a failed run leaves the old table
+    as it was.  An empty result does too when ``skip_empty`` is set.  The new
+    table's files may be read by the plan of ``df``, so the old folder is
+    removed last.
 
-    The rows go to a table beside it first and take its name only when the
-    write has succeeded, so a failed run leaves the old table as it was.  An
-    empty result leaves the old table alone when ``skip_empty`` is set.
     A name with a catalog part goes to that catalog's own atomic replace.
     """
     rows, seen = counted(spread_for_write(df, partitions, order))
@@ -69,18 +91,21 @@ def publish(
         writer.createOrReplace()
         return seen.get["rows"]
 
-    incoming = f"{name}__incoming"
-    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-    writer = rows.write.format(fmt).mode("overwrite")
+    database, table = name.split(".")
+    folder = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
+    path = f"{folder}/version-{uuid.uuid4().hex}"
+    writer = rows.write.format(fmt)
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.saveAsTable(incoming)
+    writer.save(path)
     written = seen.get["rows"]
     if written == 0 and skip_empty:
-        spark.sql(f"DROP TABLE {incoming}")
+        delete_path(spark, path)
         return 0
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
+    previous = _location(spark, name)
+    _point_at(spark, name, df, path, partitions, fmt)
+    if previous and previous != path:
+        delete_path(spark, previous)
     return written
 
 
@@ -89,13 +114,16 @@ def rebuild(spark: SparkSession, name: str, df: DataFrame, partitions: Sequence[
     return publish(spark, name, df, partitions, order, skip_empty=False, fmt=fmt)
 
 
+def drop(spark: SparkSession, name: str) -> bool:
+    """Drop a table and its files; false when there was none."""
+    where = _location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if where:
+        delete_path(spark, where)
+    return where is not None
+
+
 def reset(spark: SparkSession, silver: str = "silver", gold: str = "gold") -> list[str]:
     """Drop every registered table; missing ones are fine.  Returns those dropped."""
-    dropped = []
-    for database, tables in ((silver, SILVER), (gold, GOLD)):
-        for table in tables:
-            name = f"{database}.{table}"
-            if spark.catalog.tableExists(name):
-                dropped.append(name)
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return dropped
+    names = [f"{database}.{t}" for database, tables in ((silver, SILVER), (gold, GOLD)) for t in tables]
+    return [name for name in names if drop(spark, name)]

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from duelake.operators.keys import keep_last
 from duelake.record_types import RECORD_TYPES, raw_schema
+from duelake.sources.files import run_folders
 
 KEY, POS = "_key", "_pos"
 ORIGIN = (KEY, POS)
@@ -88,28 +89,6 @@ def read_landed(spark: SparkSession, root: str, types: Sequence[str] = RECORD_TY
     return {t: read_documents(spark, raw_path(root, t), raw_schema(t)) for t in types}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    return _filesystem(spark, path)[0].exists(_filesystem(spark, path)[1])
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, where = _filesystem(spark, path)
-    fs.delete(where, True)
-
-
-def _filesystem(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def run_folders(spark: SparkSession, path: str) -> list[str]:
-    fs, where = _filesystem(spark, path)
-    if not fs.exists(where):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(where)]
-    return sorted(n for n in names if n.startswith("run_ts="))
-
-
 def read_keyed(spark: SparkSession, root: str, record_type: str) -> DataFrame | None:
     """Records of a bronze dataset, the newest run winning per key; None if never written.
 

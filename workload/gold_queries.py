@@ -37,9 +37,8 @@ SQL = {
 }
 
 
-@query(
-    "team_standings",
-    f"""
+QUERY_SQL = {
+    "team_standings": f"""
     SELECT event_id, event_name, region, team_id, team_name, COUNT(match_id) AS matches_played,
            {total('win')} AS matches_won, {total('1 - win')} AS matches_lost, {ratio('SUM(win)', 'COUNT(match_id)')} AS match_win_rate,
            {total('own')} AS maps_won, {total('other')} AS maps_lost, {ratio('SUM(own)', '(SUM(own) + SUM(other))')} AS map_win_rate
@@ -50,9 +49,11 @@ SQL = {
         SELECT *, team2_id, team2_name, team2_score, team1_score, CASE WHEN team2_score > team1_score THEN 1 ELSE 0 END
         FROM {{series}}
     ) WHERE team_id IS NOT NULL AND event_id IS NOT NULL
-    GROUP BY event_id, event_name, region, team_id, team_name""",
-    **SQL,
-)
+    GROUP BY event_id, event_name, region, team_id, team_name"""
+}
+
+
+@query("team_standings", QUERY_SQL["team_standings"], **SQL)
 def team_standings(s: Shapes) -> DataFrame:
     return gold.team_standings(silver_series(s))
 

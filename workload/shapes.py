@@ -117,12 +117,12 @@ SHAPES = {
     "raw_map_scores": """
         SELECT CAST(match_id % 12000 AS STRING) AS match_id, CAST(map_index AS STRING) AS map_index, map_name,
                CASE WHEN map_index = 6 AND match_id % 7 = 0 THEN 'TBD' ELSE CAST(game_id AS STRING) END AS game_id,
-               CAST(team1_id AS STRING) AS team1_id, CONCAT('n', CAST(team1_id AS STRING)) AS team1_name, 'a' AS team1_short,
+               CAST(team1_id AS STRING) AS team1_id, 'n' || CAST(team1_id AS STRING) AS team1_name, 'a' AS team1_short,
                CAST(l_suppkey % 14 AS STRING) AS team1_score,
                CAST(team1_attacker_rounds AS STRING) AS team1_attacker_rounds,
                CAST(team1_defender_rounds AS STRING) AS team1_defender_rounds,
                CASE WHEN team1_is_winner THEN 'true' WHEN NOT team1_is_winner THEN 'false' ELSE NULL END AS team1_is_winner,
-               CAST(team2_id AS STRING) AS team2_id, CONCAT('n', CAST(team2_id AS STRING)) AS team2_name, 'b' AS team2_short,
+               CAST(team2_id AS STRING) AS team2_id, 'n' || CAST(team2_id AS STRING) AS team2_name, 'b' AS team2_short,
                CASE WHEN l_partkey % 50 = 0 THEN 'n/a' ELSE CAST(l_partkey % 14 AS STRING) END AS team2_score,
                CAST(team2_attacker_rounds AS STRING) AS team2_attacker_rounds,
                CAST(team2_defender_rounds AS STRING) AS team2_defender_rounds,
@@ -135,7 +135,7 @@ SHAPES = {
                CASE WHEN l_partkey % 2 = 0 THEN 'attack' ELSE 'defence' END AS winner_side, map_name AS method,
                CAST(l_partkey % 13 AS STRING) AS score_team1, CAST(l_suppkey % 13 AS STRING) AS score_team2,
                CASE WHEN l_partkey % 31 = 0 THEN '?' ELSE CAST(team1_id AS STRING) END AS winner_team_id,
-               'a' AS winner_team_short, CONCAT('n', CAST(team1_id AS STRING)) AS winner_team_name,
+               'a' AS winner_team_short, 'n' || CAST(team1_id AS STRING) AS winner_team_name,
                '2025-01-01T00:00:00' AS ingested_at, line_key AS _key, map_index AS _pos
         FROM {fx_map_scores}""",
     "raw_map_picks_bans": """
