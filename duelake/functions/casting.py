@@ -40,8 +40,8 @@ def whole_number(value: Column, source: T.DataType) -> Column:
         return value.cast("bigint")
     if isinstance(source, T.BooleanType):
         return value.cast("int").cast("bigint")
-    text = F.regexp_replace(F.trim(value.cast("string")), r"\.0+$", "")
-    return text.try_cast("bigint")
+    text = value.cast("string")
+    return F.coalesce(text.try_cast("bigint"), F.regexp_replace(F.trim(text), r"\.0+$", "").try_cast("bigint"))
 
 
 def real_number(value: Column, source: T.DataType) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from duelake.functions import casting
 
 ERRORS = "validation_errors"
+BREAK = "\n"
 _ABSENT = object()
 
 
@@ -100,19 +101,29 @@ class Contract:
     fields: tuple[Field, ...]
     nested: dict[str, "Contract"] = field(default_factory=dict)
 
-    def errors(self, lookup: Lookup) -> Column:
+    def problems(self, lookup: Lookup) -> Column:
+        """All broken rules as lines of text; empty when there are none.
+
+        Joining text skips nulls within generated code; compacting an array of
+        messages would be interpreted for every row.
+        """
         checks = [c for f in self.fields for c in f.checks(lookup)]
         for name, inner in self.nested.items():
             value = lookup(name)
             if value is None:
                 checks.append(F.lit(f"{name}: required"))
                 continue
-            checks.append(F.when(value.column.isNull(), F.lit(f"{name}: required")))
-            inside = inner.errors(struct_lookup(value.column, value.dtype))
+            inside = inner.problems(struct_lookup(value.column, value.dtype))
+            prefixed = F.concat(F.lit(f"{name}."), F.replace(inside, F.lit(BREAK), F.lit(f"{BREAK}{name}.")))
             checks.append(
-                F.when(value.column.isNotNull() & (F.size(inside) > 0), F.concat(F.lit(f"{name}."), F.array_join(inside, f"; {name}.")))
+                F.when(value.column.isNull(), F.lit(f"{name}: required")).when(inside != "", prefixed)
             )
-        return F.array_compact(F.array(*checks)).cast("array<string>")
+        return F.concat_ws(BREAK, *checks)
+
+    def errors(self, lookup: Lookup) -> Column:
+        """The broken rules as an array."""
+        text = self.problems(lookup)
+        return F.when(text != "", F.split(text, BREAK)).otherwise(F.array().cast("array<string>"))
 
     def record(self, lookup: Lookup) -> list[Column]:
         out = [f.typed(f.resolve(lookup)).alias(f.name) for f in self.fields]
@@ -150,14 +161,14 @@ def validate(df: DataFrame, contract: Contract, carry: tuple[str, ...] = ()) ->
     """
     lookup = frame_lookup(df)
     given = [F.col(f"`{c}`") for c in contract.columns if c in df.columns]
-    checked = df.withColumn(ERRORS, contract.errors(lookup))
     original = F.to_json(F.struct(*given), {"ignoreNullFields": "false"})
+    errors = contract.errors(lookup)
     record = F.struct(
         *contract.record(lookup),
-        F.col(ERRORS),
-        F.when(F.size(ERRORS) > 0, original).alias("original_payload"),
+        errors.alias(ERRORS),
+        F.when(F.size(errors) > 0, original).alias("original_payload"),
     )
-    return checked.select(*carry, F.inline(F.array(record)))
+    return df.select(*carry, record.alias("record")).select(*carry, F.inline(F.array("record")))
 
 
 def accepted(flagged: DataFrame) -> DataFrame:
@@ -176,7 +187,7 @@ def valid_members(array: Column, dtype: T.ArrayType, contract: Contract, extra:
         inside = struct_lookup(member, dtype.elementType)
         return lambda name: extra.get(name) or inside(name)
 
-    kept = F.filter(array, lambda m: m.isNotNull() & (F.size(contract.errors(lookup(m))) == 0))
+    kept = F.filter(array, lambda m: m.isNotNull() & ((contract.problems(lookup(m)) == "")))
     return F.transform(kept, lambda m: F.struct(*contract.record(lookup(m))))
 
 

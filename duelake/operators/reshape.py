@@ -89,9 +89,17 @@ def explode_actions(df: DataFrame, lists: Mapping[str, str], keep: Sequence[str]
     )
 
 
-def explode_maps(df: DataFrame, keep: Sequence[str], maps: str = "maps") -> DataFrame:
-    """One row per map of a match payload with its zero-based index."""
-    return df.select(*keep, F.posexplode(maps).alias("map_index", "m"))
+def explode_maps(df: DataFrame, keep: Sequence[str], fields: Sequence[str], maps: str = "maps") -> DataFrame:
+    """One row per map of a match payload: its zero-based index and some of its fields.
+
+    Fields are taken as arrays and zipped, so the scan reads their columns and
+    not whole map payloads.  Fields the landed schema lacks come out null.
+    """
+    have = [f for f in fields if has_field(df.schema, f"{maps}.{f}")]
+    zipped = F.arrays_zip(*[F.col(f"{maps}.{f}") for f in have])
+    return df.select(*keep, F.posexplode(zipped).alias("map_index", "m")).select(
+        *keep, "map_index", *[(F.col("m")[f] if f in have else F.lit(None)).alias(f) for f in fields]
+    )
 
 
 def explode_values(df: DataFrame, array: str, name: str) -> DataFrame:

@@ -121,8 +121,8 @@ def maps_of(series_maps: DataFrame, series: DataFrame) -> DataFrame:
 # ---- match records ----------------------------------------------------------
 
 
-def _field(df: DataFrame, path: str, column: Column, default: Column | None = None) -> Column:
-    return column if has_field(df.schema, path) else (F.lit(None) if default is None else default)
+def _field(df: DataFrame, path: str, column: Column) -> Column:
+    return column if has_field(df.schema, path) else F.lit(None)
 
 
 def series_attempts(series: DataFrame) -> DataFrame:
@@ -160,14 +160,9 @@ def action_attempts(series: DataFrame) -> DataFrame:
 
 
 def player_rows(series_maps: DataFrame) -> DataFrame:
-    maps = explode_maps(series_maps, ["fetch_seq", "match_id"])
+    maps = explode_maps(series_maps, ["fetch_seq", "match_id"], ["game_id", "map_name", "players"])
     return maps.select(
-        "fetch_seq",
-        "match_id",
-        "map_index",
-        F.col("m.game_id").alias("game_id"),
-        F.col("m.map_name").alias("map_name"),
-        F.posexplode("m.players").alias("player_pos", "p"),
+        "fetch_seq", "match_id", "map_index", "game_id", "map_name", F.posexplode("players").alias("player_pos", "p")
     )
 
 
@@ -203,27 +198,21 @@ SCORE_ATTRIBUTES = ("id", "name", "short", "score", "attacker_rounds", "defender
 
 def map_score_attempts(series_maps: DataFrame) -> DataFrame:
     """One record per map that has two sides, widened by position."""
-    maps = at_least(explode_maps(series_maps, ["fetch_seq", "match_id"]), "m.teams", 2)
+    header = ["fetch_seq", "match_id"]
+    maps = at_least(explode_maps(series_maps, header, ["game_id", "map_name", "teams"]), "teams", 2)
     wide = [
-        _field(maps, f"m.teams.{a}", positional(F.col("m.teams"), i)[a]).alias(f"team{i + 1}_{a}")
+        _field(maps, f"teams.{a}", positional(F.col("teams"), i)[a]).alias(f"team{i + 1}_{a}")
         for i in (0, 1)
         for a in SCORE_ATTRIBUTES
     ]
-    df = maps.select(
-        "fetch_seq",
-        "match_id",
-        "map_index",
-        F.col("m.map_name").alias("map_name"),
-        F.col("m.game_id").alias("game_id"),
-        *wide,
-    )
+    df = maps.select(*header, "map_index", "map_name", "game_id", *wide)
     return flag(df, "map_scores", record_key("match_id", "map_index"), "map_index")
 
 
 def round_attempts(series_maps: DataFrame) -> DataFrame:
     """One record per map and round; a round without a number is round 0."""
-    maps = explode_maps(series_maps, ["fetch_seq", "match_id"])
-    df = maps.select("fetch_seq", "match_id", "map_index", F.posexplode("m.rounds").alias("round_pos", "r")).select(
+    maps = explode_maps(series_maps, ["fetch_seq", "match_id"], ["rounds"])
+    df = maps.select("fetch_seq", "match_id", "map_index", F.posexplode("rounds").alias("round_pos", "r")).select(
         "fetch_seq", "match_id", "map_index", "round_pos", "r.*"
     )
     df = df.withColumn("round_number", F.coalesce(attribute(df, "round_number"), F.lit(0)))
@@ -246,7 +235,9 @@ def team_ids(series: DataFrame) -> DataFrame:
 
 
 def player_ids(series_maps: DataFrame) -> DataFrame:
-    ids = player_rows(series_maps).select(F.col("p.player_id").alias("player_id"))
+    """Real player ids of all maps; only the id column of the payload is read."""
+    per_map = series_maps.select(F.explode("maps.players").alias("players"))
+    ids = per_map.select(F.explode("players.player_id").alias("player_id"))
     return ids.where(real_id(F.col("player_id"))).distinct()
 
 

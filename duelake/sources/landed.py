@@ -49,7 +49,11 @@ def decoded_key(path: str = "_metadata.file_path") -> F.Column:
 
 
 def read_documents(spark: SparkSession, prefix: str, schema: T.StructType) -> DataFrame:
-    """All JSON documents at or below a prefix; no such prefix gives no rows."""
+    """All JSON documents at or below a prefix; no such prefix gives no rows.
+
+    Spark lists no files of zero bytes, so an empty object is passed over; any
+    other text that is not JSON fails the job.
+    """
     try:
         files = spark.read.option("recursiveFileLookup", "true").text(prefix, wholetext=True)
     except AnalysisException as problem:

@@ -87,8 +87,8 @@ def landing(shapes: Shapes) -> Landing:
     return Landing(
         events=shapes["landing_events"],
         matches=shapes["landing_matches"],
-        series=series_payloads(shapes),
-        series_maps=map_payloads(shapes),
+        series=shapes.landed("series", series_payloads),
+        series_maps=shapes.landed("series_maps", map_payloads),
         standings=shapes["landing_standings"],
         team_info=shapes["landing_team_info"],
         roster=roster_payloads(shapes),

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from duelake.session import shared_folder
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # A total order on lineitem rows, usable as an object key.
@@ -250,6 +252,7 @@ SHAPES = {
         FROM {lineitem}""".replace("__LINE_KEY__", LINE_KEY),
 }
 
+_LANDED: dict[tuple[str, str, str], tuple] = {}
 _REFERENCE = re.compile(r"\{(\w+)\}")
 
 
@@ -270,6 +273,17 @@ class Shapes:
             self._built[name] = self._build(name)
         return self._built[name]
 
+    def landed(self, name: str, build) -> DataFrame:
+        """A derived payload table, written to the shared folder once per application."""
+        key = (self.spark.sparkContext.applicationId, self.directory, name)
+        if key not in _LANDED:
+            path = shared_folder(self.spark, name)
+            df = build(self)
+            df.write.parquet(path)
+            _LANDED[key] = (path, df.schema)
+        path, schema = _LANDED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     def _build(self, name: str) -> DataFrame:
         if name not in SHAPES:
             return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
