@@ -7,6 +7,7 @@ the tasks it held and not the steps before them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -19,7 +20,7 @@ from duelake.plans import bronze, gold, silver
 from duelake.plans.bronze import Landing, Scope
 from duelake.record_types import QUARANTINED, RECORD_TYPES, raw_schema
 from duelake.registry import GOLD, LEGACY_PARTITIONS, SILVER
-from duelake.session import require_ansi
+from duelake.session import require_ansi, shared_root
 from duelake.sinks.records import last_accepted, stage_flagged, write_keyed, write_quarantine, write_violations
 from duelake.sinks.tables import ensure_database, publish, rebuild
 from duelake.sources.catalog import build_if_available, register_silver_views
@@ -46,9 +47,11 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.root.rstrip('/')}/bronze"
 
-    @property
-    def staging(self) -> str:
-        return f"{self.root.rstrip('/')}/staging/run_ts={self.run_ts}"
+    def staging(self, spark: SparkSession) -> str:
+        """Folder of this run's staged frames: in the session's shared root, else in the lake."""
+        shared = shared_root(spark)
+        base = f"{shared}/staging-{hashlib.md5(self.root.encode()).hexdigest()}" if shared else f"{self.root.rstrip('/')}/staging"
+        return f"{base}/run_ts={self.run_ts}"
 
     @property
     def rejects(self) -> str:
@@ -63,7 +66,7 @@ class Lake:
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write once per run and read back: a durable stand-in for a cached frame."""
-        path = f"{self.staging}/{name}"
+        path = f"{self.staging(df.sparkSession)}/{name}"
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -117,7 +120,7 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
         counts[name] = frame.count()
     # Series go last: their presence is what marks a backfill as done.
     for record_type in sorted(attempts, key=lambda t: t == "series"):
-        flagged, tally = stage_flagged(attempts[record_type], f"{lake.staging}/flagged/{record_type}")
+        flagged, tally = stage_flagged(attempts[record_type], f"{lake.staging(spark)}/flagged/{record_type}")
         counts[f"{record_type}_valid"] = tally["valid"]
         if record_type in QUARANTINED:
             counts[f"{record_type}_invalid"] = tally["invalid"]

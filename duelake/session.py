@@ -44,14 +44,22 @@ def require_ansi(spark: SparkSession) -> None:
         raise RuntimeError("spark.sql.ansi.enabled must be true: strict casts would return null")
 
 
+def shared_root(spark: SparkSession) -> str | None:
+    """The folder all executors share, as the session names it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/") if root else None
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's checkpoint location.
+    """A new folder below the shared root.
 
-    Only a session that names no such location (a plain local test) gets a
-    temporary one of its own.
+    A local session that names no root (a plain test) gets a temporary one; on a
+    cluster a folder of one machine would be of no use, so that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
+    root = shared_root(spark)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="duelake-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
