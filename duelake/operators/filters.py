@@ -81,7 +81,7 @@ def before_cutoff(
     """
     stop = first_stale_page(events, in_scope, first_year, page, start_date).scalar()
     read = F.col(page) <= stop if keep_stop else F.col(page) < stop
-    return events.where(stop.isNull() | read)
+    return events.where(F.coalesce(read, F.lit(True)))
 
 
 def at_least(df: DataFrame, array: str, n: int) -> DataFrame:

@@ -13,6 +13,9 @@ from workload.shapes import Shapes
 
 GATE_MAPS = ["match_id", "game_id"]
 GATE_STATS = ["match_id", "game_id", "player_id"]
+# A total order on lineitem rows.
+GATE_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice"]
+LINES = ", ".join(GATE_ORDER)
 
 
 def silver_series(s: Shapes) -> DataFrame:
@@ -20,19 +23,19 @@ def silver_series(s: Shapes) -> DataFrame:
 
 
 def silver_maps(s: Shapes) -> DataFrame:
-    return keep_last(s["fx_map_scores"], GATE_MAPS, ["line_key"])
+    return keep_last(s["fx_map_scores"], GATE_MAPS, GATE_ORDER)
 
 
 def silver_stats(s: Shapes) -> DataFrame:
     stats = s["fx_player_stats"].where(F.col("player_id").isNotNull())
-    gated = keep_last(stats, GATE_STATS, ["line_key"])
+    gated = keep_last(stats, GATE_STATS, GATE_ORDER)
     return attach(gated, silver_series(s).select("match_id", "event_id", "region"))
 
 
 SQL = {
     "series": "SELECT f.*, e.event_id, e.region FROM {fx_series} f LEFT JOIN {fx_events} e ON f.event_name = e.name",
-    "maps": last("{fx_map_scores}", "match_id, game_id", "line_key"),
-    "gated": last("{fx_player_stats}", "match_id, game_id, player_id", "line_key", where="player_id IS NOT NULL"),
+    "maps": last("{fx_map_scores}", "match_id, game_id", LINES),
+    "gated": last("{fx_player_stats}", "match_id, game_id, player_id", LINES, where="player_id IS NOT NULL"),
     "stats": "SELECT g.*, s.event_id, s.region FROM {gated} g LEFT JOIN {series} s USING (match_id)",
 }
 

@@ -99,16 +99,18 @@ def null_key_rows(s: Shapes) -> DataFrame:
 # ---- keys and dedup -----------------------------------------------------------
 
 GATE = ["match_id", "game_id", "player_id"]
+GATE_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice"]
+LINES = ", ".join(GATE_ORDER)
 
 
-@query("pk_gate_clean", last("{fx_player_stats}", "match_id, game_id, player_id", "line_key", where="player_id IS NOT NULL"))
+@query("pk_gate_clean", last("{fx_player_stats}", "match_id, game_id, player_id", LINES, where="player_id IS NOT NULL"))
 def pk_gate_clean(s: Shapes) -> DataFrame:
-    return pk_gate(s["fx_player_stats"], GATE, ["line_key"]).clean
+    return pk_gate(s["fx_player_stats"], GATE, GATE_ORDER).clean
 
 
 @query("pk_gate_violations", "SELECT * FROM {fx_player_stats} WHERE player_id IS NULL")
 def pk_gate_violations(s: Shapes) -> DataFrame:
-    return pk_gate(s["fx_player_stats"], GATE, ["line_key"]).violations
+    return pk_gate(s["fx_player_stats"], GATE, GATE_ORDER).violations
 
 
 LINE_ORDER = "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"

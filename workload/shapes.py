@@ -51,7 +51,7 @@ SHAPES = {
                CAST(l_partkey % 13 AS INT) AS team1_defender_rounds,
                CAST(l_partkey % 11 AS INT) AS team2_attacker_rounds,
                CAST(l_suppkey % 11 AS INT) AS team2_defender_rounds,
-               l_partkey, l_suppkey, l_quantity, l_linenumber,
+               l_partkey, l_suppkey, l_extendedprice, l_quantity, l_linenumber,
                CAST(l_shipdate AS DATE) AS ship_day, {LINE_KEY} AS line_key
         FROM {{lineitem}} JOIN {{fx_series}} s ON l_orderkey = s.match_id""",
     "fx_player_stats": """
@@ -66,7 +66,7 @@ SHAPES = {
                CAST(p_partkey % 12 AS INT) AS assists, CAST(m.l_suppkey % 6 AS INT) AS fk, CAST(p_partkey % 5 AS INT) AS fd,
                CAST(m.l_suppkey % 101 AS FLOAT) AS kast, CAST(p_partkey % 250 AS FLOAT) AS adr,
                CASE WHEN m.l_suppkey % 19 = 0 THEN NULL ELSE CAST(p_partkey % 60 AS FLOAT) END AS hs_pct,
-               m.line_key
+               m.l_partkey, m.l_suppkey, m.l_extendedprice, m.line_key
         FROM {fx_map_scores} m JOIN {part} ON m.l_partkey = p_partkey""",
     # ---- raw silver inputs: text scalars, origin columns, ingestion stamp ----
     "raw_events": f"""
@@ -84,6 +84,11 @@ SHAPES = {
                CASE WHEN s_acctbal > 0 THEN 'true' ELSE 'false' END AS is_active,
                '2025-01-01T00:00:00' AS ingested_at, {key_of('s_suppkey')} AS _key, 0 AS _pos
         FROM {{supplier}}""",
+    "raw_roster_members": f"""
+        SELECT c_custkey, CAST(c_custkey % 61 AS STRING) AS team_id,
+               CASE WHEN c_custkey % 9 = 0 THEN 'coach' ELSE CAST(c_custkey * 2 % 122 AS STRING) END AS player1,
+               CAST((c_custkey * 2 + 1) % 122 AS STRING) AS player2, c_name AS ign, {key_of('c_custkey')} AS _key
+        FROM {{customer}}""",
     "raw_player_profiles": f"""
         SELECT CAST(p_partkey % 1500 AS STRING) AS player_id, p_name AS handle, p_brand AS real_name, p_type AS country,
                CASE WHEN p_size > 25 THEN NULL ELSE CONCAT('img/', p_brand) END AS avatar_url,

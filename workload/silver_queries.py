@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from duelake.operators.joins import attach, resolve_event
 from duelake.plans import silver
+from duelake.record_types import raw_schema
+from duelake.sources.landed import parse_documents
 from workload.payloads import raw_series
 from workload.registry import last, query
 from workload.shapes import Shapes
@@ -86,6 +88,35 @@ for _table, (_source, _keys, _columns) in TYPED.items():
     _register_plain(_table, _source, _keys, _columns)
 
 
+ROSTER_SQL = {
+    "typed": """
+        SELECT CAST(team_id AS BIGINT) AS team_id, TRY_CAST(CASE WHEN i = 0 THEN player1 ELSE player2 END AS BIGINT) AS player_id,
+               ign || '_' || CAST(i AS STRING) AS ign, CAST(NULL AS STRING) AS real_name, CAST(NULL AS STRING) AS country,
+               'player' AS role, i = 0 AS is_captain, _key, i AS _pos
+        FROM {raw_roster_members}, RANGE(0, 2) t(i)"""
+}
+
+
+def roster(s: Shapes) -> DataFrame:
+    """Roster documents, each an array of two members, parsed to raw rows."""
+    member = (
+        "to_json(named_struct('team_id', team_id, 'player_id', player{n}, 'ign', concat(ign, '_{i}'), 'role', 'player', 'is_captain', {c}))"
+    )
+    first, second = member.format(n=1, i=0, c="true"), member.format(n=2, i=1, c="false")
+    documents = s["raw_roster_members"].selectExpr("_key", f"concat('[', {first}, ',', {second}, ']') as value")
+    return parse_documents(documents, raw_schema("team_roster"), keep=["_key"])
+
+
+@query("silver_dim_team_roster", last("{typed}", "team_id, player_id", ORDER, "* EXCLUDE (_key, _pos)", "player_id IS NOT NULL"), **ROSTER_SQL)
+def dim_team_roster(s: Shapes) -> DataFrame:
+    return silver.dim_team_roster(roster(s)).clean
+
+
+@query("silver_dim_team_roster_violations", "SELECT * EXCLUDE (_key, _pos) FROM {typed} WHERE player_id IS NULL", **ROSTER_SQL)
+def dim_team_roster_violations(s: Shapes) -> DataFrame:
+    return silver.dim_team_roster(roster(s)).violations
+
+
 # ---- series and the facts of a match -----------------------------------------
 
 SERIES_SQL = {

@@ -311,3 +311,20 @@ def job_legacy_silver(s: Shapes) -> DataFrame:
     jobs.run_legacy(s.spark, target)
     stats = s.spark.table(f"{target.silver}.fact_player_stats")
     return stats.groupBy("match_id", "team1_name", "team2_name").agg(F.count(F.lit(1)).alias("stats"))
+
+
+@query(
+    "job_silver_single_pass",
+    """
+    SELECT m AS match_id, CAST(i AS INT) AS map_index, m * 10 + i AS game_id, 'map_' || CAST(i AS STRING) AS map_name,
+           CAST(id1 AS BIGINT) AS team1_id, CAST((m + i) % 14 AS INT) AS team1_score, (m + 1) % 2 = 0 AS team1_is_winner,
+           CAST(id2 AS BIGINT) AS team2_id, CAST((m + 2 * i) % 14 AS INT) AS team2_score, (m + 2) % 2 = 0 AS team2_is_winner
+    FROM {maps} WHERE (m + i) % 11 <> 0 AND (m + i) % 8 <> 0 AND (m + i) % 13 <> 0""",
+    **FULL_SQL,
+)
+def job_silver_single_pass(s: Shapes) -> DataFrame:
+    target = lake(s)
+    jobs.run_backfill(s.spark, payloads.landing(s), target, SCOPE)
+    jobs.run_silver_single_pass(s.spark, target)
+    shown = "match_id map_index game_id map_name team1_id team1_score team1_is_winner team2_id team2_score team2_is_winner"
+    return s.spark.table(f"{target.silver}.fact_map_scores").select(*shown.split())
