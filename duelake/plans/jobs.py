@@ -8,7 +8,8 @@ the tasks it held and not the steps before them.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -32,6 +33,16 @@ def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
 
 
+def side_by_side(work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+    """Run independent Spark jobs from a few driver threads, so the last tasks of
+    one table do not leave the cluster idle.  All run to the end; then the first
+    failure, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = {name: pool.submit(work, name) for name in names}
+    return {name: future.result() for name, future in running.items()}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers live.  ``bronze_format`` is ``json`` or ``keyed``."""
@@ -62,7 +73,7 @@ class Lake:
         frames = raw_frames(spark, self.bronze, self.bronze_format, types)
         if self.bronze_format != "json":
             return frames
-        return {t: self.stage(f"compact/{t}", df) for t, df in frames.items()}
+        return side_by_side(lambda t: self.stage(f"compact/{t}", frames[t]), frames)
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write once per run and read back: a durable stand-in for a cached frame."""
@@ -118,8 +129,8 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
     counts = dict(bronze.event_counts(landing.events, scope).first().asDict())
     for name, frame in bronze.series_counts(candidates, wanted, series).items():
         counts[name] = frame.count()
-    # Series go last: their presence is what marks a backfill as done.
-    for record_type in sorted(attempts, key=lambda t: t == "series"):
+
+    def land(record_type: str) -> None:
         flagged, tally = stage_flagged(attempts[record_type], f"{lake.staging(spark)}/flagged/{record_type}")
         counts[f"{record_type}_valid"] = tally["valid"]
         if record_type in QUARANTINED:
@@ -129,28 +140,34 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
         if tally["valid"]:
             records = last_accepted(flagged).drop("quarantine_key")
             write_keyed(records, lake.bronze, record_type, lake.run_ts)
+
+    side_by_side(land, [t for t in attempts if t != "series"])
+    # Series go last: their presence is what marks a backfill as done.
+    land("series")
     return counts
 
 
 # ---- silver -----------------------------------------------------------------
 
 
-def _publish(spark: SparkSession, lake: Lake, table: str, split: Split, counts: dict[str, int]) -> None:
-    rejected = write_violations(spark, split.violations, lake.rejects, table, lake.run_ts)
-    counts["quarantined"] = counts.get("quarantined", 0) + rejected
-    counts[table] = publish(
-        spark, f"{lake.silver}.{table}", split.clean, SILVER[table].partitions, fmt=lake.table_format
-    )
+def _publish(spark: SparkSession, lake: Lake, splits: Mapping[str, Split]) -> dict[str, int]:
+    """Quarantine the violations and replace the table, for each split."""
+
+    def one(table: str) -> tuple[int, int]:
+        clean, violations = splits[table]
+        rejected = write_violations(spark, violations, lake.rejects, table, lake.run_ts)
+        name = f"{lake.silver}.{table}"
+        return publish(spark, name, clean, SILVER[table].partitions, fmt=lake.table_format), rejected
+
+    done = side_by_side(one, splits)
+    return {**{t: n for t, (n, _) in done.items()}, "quarantined": sum(r for _, r in done.values())}
 
 
 def _publish_each(spark: SparkSession, lake: Lake, transforms: Mapping[str, Callable]) -> dict[str, int]:
     require_ansi(spark)
     ensure_database(spark, lake.silver)
     raw = lake.raw(spark, *[SILVER[t].source for t in transforms])
-    counts: dict[str, int] = {}
-    for table, transform in transforms.items():
-        _publish(spark, lake, table, transform(raw[SILVER[table].source]), counts)
-    return counts
+    return _publish(spark, lake, {t: transform(raw[SILVER[t].source]) for t, transform in transforms.items()})
 
 
 def run_dims(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -192,12 +209,10 @@ def run_facts_match(spark: SparkSession, lake: Lake) -> dict[str, int]:
     ensure_database(spark, lake.silver)
     raw = lake.raw(spark, "events", "series", *[SILVER[t].source for t in MATCH_FACTS])
     series = silver.fact_series(raw["series"], silver.dim_events(raw["events"]).clean)
-    counts: dict[str, int] = {}
-    _publish(spark, lake, "fact_series", Split(series.clean, series.violations), counts)
     lookup = lake.stage("series_event_lookup", series.lookup)
-    for table in MATCH_FACTS:
-        _publish(spark, lake, table, silver.match_fact(raw[SILVER[table].source], table, lookup), counts)
-    return counts
+    splits = {"fact_series": Split(series.clean, series.violations)}
+    splits.update({t: silver.match_fact(raw[SILVER[t].source], t, lookup) for t in MATCH_FACTS})
+    return _publish(spark, lake, splits)
 
 
 def run_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -224,10 +239,7 @@ def run_silver_single_pass(spark: SparkSession, lake: Lake) -> dict[str, int]:
     splits["fact_series"] = Split(series.clean, series.violations)
     lookup = lake.stage("series_event_lookup", series.lookup)
     splits.update({t: silver.match_fact(raw[SILVER[t].source], t, lookup) for t in MATCH_FACTS})
-    counts: dict[str, int] = {}
-    for table, split in splits.items():
-        _publish(spark, lake, table, split, counts)
-    return counts
+    return _publish(spark, lake, splits)
 
 
 def run_legacy(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -284,15 +296,17 @@ def run_gold_job(spark: SparkSession, lake: Lake, job: str) -> dict[str, int]:
     ensure_database(spark, lake.gold)
     views, tables = GOLD_JOBS[job]
     register_silver_views(spark, lake.silver, views)
-    counts: dict[str, int] = {}
-    for table, requires in tables:
-        built = build_if_available(spark, lambda t=table: gold.from_views(spark, t, ordered=False), requires)
-        if built is not None:
-            spec = GOLD[table]
-            counts[table] = rebuild(
-                spark, f"{lake.gold}.{table}", built, spec.partitions, spec.order, fmt=lake.table_format
-            )
-    return counts
+    built = {
+        table: build_if_available(spark, lambda t=table: gold.from_views(spark, t, ordered=False), requires)
+        for table, requires in tables
+    }
+
+    def write(table: str) -> int:
+        spec = GOLD[table]
+        name = f"{lake.gold}.{table}"
+        return rebuild(spark, name, built[table], spec.partitions, spec.order, fmt=lake.table_format)
+
+    return side_by_side(write, [t for t, df in built.items() if df is not None])
 
 
 def run_players(spark: SparkSession, lake: Lake) -> dict[str, int]:

@@ -203,6 +203,7 @@ def explode_maps_players(s: Shapes) -> DataFrame:
            (m + j) % 40 - 1 AS kills, (m * 3 + j) % 30 AS deaths, j AS assists, CAST((m + i) % 101 AS DOUBLE) AS kast,
            CAST(NULL AS DOUBLE) AS adr, CAST(NULL AS DOUBLE) AS hs_pct, (m + j) % 5 - 1 AS fk, j AS fd
     FROM {{players}} WHERE {STAT_OK}""",
+    ("agents",),
     **SQL,
 )
 def player_stats(s: Shapes) -> DataFrame:
@@ -367,6 +368,7 @@ def team_transactions(s: Shapes) -> DataFrame:
         "CAST(player_id AS STRING) AS record_key, player_id, handle, real_name, country, avatar_url, aliases",
         "aliases IS NOT NULL AND player_id IN (SELECT player_id FROM {player_ids})",
     ),
+    ("aliases",),
     **SQL,
 )
 def player_profiles(s: Shapes) -> DataFrame:

@@ -85,7 +85,7 @@ def run_guard(s: Shapes) -> DataFrame:
     return guarded("against present", lines).union(guarded("against empty", lines.where("l_returnflag = 'none'")))
 
 
-@query("min_two_elements", "SELECT p_partkey, SPLIT(p_name, ' ') AS words FROM part WHERE LEN(SPLIT(p_name, ' ')) >= 2 AND p_size > 10")
+@query("min_two_elements", "SELECT p_partkey, SPLIT(p_name, ' ') AS words FROM part WHERE LEN(SPLIT(p_name, ' ')) >= 2 AND p_size > 10", ("words",))
 def min_two_elements(s: Shapes) -> DataFrame:
     words = s["part"].select("p_partkey", F.when(F.col("p_size") > 10, F.split("p_name", " ")).alias("words"))
     return at_least(words, "words", 2)
@@ -103,12 +103,12 @@ GATE_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice"]
 LINES = ", ".join(GATE_ORDER)
 
 
-@query("pk_gate_clean", last("{fx_player_stats}", "match_id, game_id, player_id", LINES, where="player_id IS NOT NULL"))
+@query("pk_gate_clean", last("{fx_player_stats}", "match_id, game_id, player_id", LINES, where="player_id IS NOT NULL"), ("agents",))
 def pk_gate_clean(s: Shapes) -> DataFrame:
     return pk_gate(s["fx_player_stats"], GATE, GATE_ORDER).clean
 
 
-@query("pk_gate_violations", "SELECT * FROM {fx_player_stats} WHERE player_id IS NULL")
+@query("pk_gate_violations", "SELECT * FROM {fx_player_stats} WHERE player_id IS NULL", ("agents",))
 def pk_gate_violations(s: Shapes) -> DataFrame:
     return pk_gate(s["fx_player_stats"], GATE, GATE_ORDER).violations
 

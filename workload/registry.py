@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from workload.shapes import Shapes, with_shapes
 
@@ -12,13 +13,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None, **selects: str):
-    """Register a function of ``Shapes``; ``selects`` are named parts of the SQL."""
+def query(name: str, oracle: str | None = None, lists: tuple[str, ...] = (), **selects: str):
+    """Register a function of ``Shapes``; ``selects`` are named parts of the SQL.
+
+    ``lists`` names array columns, shown as joined text on both sides so that
+    rows compare as plain values.
+    """
 
     def register(build: Callable[[Shapes], DataFrame]):
-        QUERIES[name] = lambda spark, directory: build(Shapes(spark, directory))
+        def run(spark: SparkSession, directory: str) -> DataFrame:
+            df = build(Shapes(spark, directory))
+            return df.withColumns({c: F.array_join(c, "|") for c in lists})
+
+        QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = with_shapes(oracle, **selects)
+            sql = with_shapes(oracle, **selects)
+            if lists:
+                joined = ", ".join(f"array_to_string({c}, '|') AS {c}" for c in lists)
+                sql = f"SELECT * REPLACE ({joined}) FROM ({sql})"
+            ORACLES[name] = sql
         return build
 
     return register

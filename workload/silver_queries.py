@@ -74,12 +74,13 @@ def _null_key(keys: str) -> str:
 def _register_plain(table: str, source: str, keys: str, columns: str) -> None:
     typed = f"SELECT {columns}, _key, _pos FROM {{{source}}}"
     names = "* EXCLUDE (_key, _pos)"
+    lists = ("aliases",) if table == "dim_players" else ()
 
-    @query(f"silver_{table}", last("{typed}", keys, ORDER, names, f"NOT ({_null_key(keys)})"), typed=typed)
+    @query(f"silver_{table}", last("{typed}", keys, ORDER, names, f"NOT ({_null_key(keys)})"), lists, typed=typed)
     def clean(s: Shapes) -> DataFrame:
         return silver.dimension(s[source], table).clean
 
-    @query(f"silver_{table}_violations", f"SELECT {names} FROM {{typed}} WHERE {_null_key(keys)}", typed=typed)
+    @query(f"silver_{table}_violations", f"SELECT {names} FROM {{typed}} WHERE {_null_key(keys)}", lists, typed=typed)
     def violations(s: Shapes) -> DataFrame:
         return silver.dimension(s[source], table).violations
 
@@ -205,16 +206,18 @@ def _register_fact(table: str, source: str, keys: str, columns: str) -> None:
     }
     hide = "* EXCLUDE (_k, _p, _key, _pos, _ev)"
     broken = _null_key(keys)
+    lists = ("agents",) if table == "fact_player_stats" else ()
 
     @query(
         f"silver_{table}",
         last("{joined}", keys, "_k, _p, _key, _pos, _ev", hide, f"NOT ({broken})"),
+        lists,
         **parts,
     )
     def clean(s: Shapes) -> DataFrame:
         return silver.match_fact(s[source], table, series_split(s).lookup).clean
 
-    @query(f"silver_{table}_violations", f"SELECT {hide} FROM {{joined}} WHERE {broken}", **parts)
+    @query(f"silver_{table}_violations", f"SELECT {hide} FROM {{joined}} WHERE {broken}", lists, **parts)
     def violations(s: Shapes) -> DataFrame:
         return silver.match_fact(s[source], table, series_split(s).lookup).violations
 
@@ -249,6 +252,7 @@ def legacy(s: Shapes) -> silver.WideSplit:
 @query(
     "enrich_wide",
     last("{joined}", "match_id, game_id, player_id", "_k, _p, _key, _pos, _ev", WIDE, "NOT (match_id IS NULL OR game_id IS NULL OR player_id IS NULL)"),
+    ("agents",),
     **LEGACY_SQL,
 )
 def enrich_wide(s: Shapes) -> DataFrame:
@@ -258,6 +262,7 @@ def enrich_wide(s: Shapes) -> DataFrame:
 @query(
     "enrich_wide_violations",
     f"SELECT {WIDE} FROM {{joined}} WHERE match_id IS NULL OR game_id IS NULL OR player_id IS NULL",
+    ("agents",),
     **LEGACY_SQL,
 )
 def enrich_wide_violations(s: Shapes) -> DataFrame:
@@ -274,7 +279,7 @@ def legacy_events(s: Shapes) -> DataFrame:
     return silver.legacy_events(s["raw_events"]).drop("_key", "_pos")
 
 
-@query("legacy_player_stats", f"SELECT {MATCH_TYPED['fact_player_stats'][2]} FROM {{raw_player_stats}}")
+@query("legacy_player_stats", f"SELECT {MATCH_TYPED['fact_player_stats'][2]} FROM {{raw_player_stats}}", ("agents",))
 def legacy_player_stats(s: Shapes) -> DataFrame:
     return silver.legacy_player_stats(s["raw_player_stats"]).drop("_key", "_pos")
 
