@@ -92,8 +92,9 @@ def publish(
         return seen.get["rows"]
 
     database, table = name.split(".")
-    folder = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
-    path = f"{folder}/version-{uuid.uuid4().hex}"
+    # Beside, not below, the folder a managed table of this name would own.
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    path = f"{root}/{table}__versions/{uuid.uuid4().hex}"
     writer = rows.write.format(fmt)
     if partitions:
         writer = writer.partitionBy(*partitions)

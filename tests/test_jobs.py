@@ -249,6 +249,13 @@ def test_publish_keeps_the_old_table_on_failure_and_on_empty(spark, tmp_path):
     assert spark.table("t_pub.t").count() == 1
 
 
+def test_publish_takes_over_a_managed_table(spark):
+    ensure_database(spark, "t_managed")
+    spark.range(5).write.mode("overwrite").saveAsTable("t_managed.t")
+    assert publish(spark, "t_managed.t", spark.table("t_managed.t").where("id < 2")) == 2
+    assert spark.table("t_managed.t").count() == 2
+
+
 def test_reset_drops_only_registered_tables(spark):
     for name in ("fact_series", "match_summary", "other"):
         ensure_database(spark, "t_reset")

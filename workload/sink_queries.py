@@ -269,8 +269,8 @@ def job_backfill(s: Shapes) -> DataFrame:
     return frame(s, rows, "counter string, n bigint")
 
 
-# Silver series of a full run: bronze series in key order, event by name; the
-# events here carry other names than the series, so no event is found.
+# Player stats a full run brings to silver: valid records with a numeric game id
+# and a player id.
 JOB_SQL = {
     **FULL_SQL,
     "valid_stats": f"""
