@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe
+from duelake.llm import byte_bpe, token_files
 from duelake.llm.common import documents
+from duelake.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +31,15 @@ def op7_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op9_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    files = token_files.write(documents(spark, directory), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read(files, folder).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
