@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, token_files
-from duelake.llm.common import documents
+from duelake.llm import byte_bpe, quality, token_files
+from duelake.llm.common import documents, labels
 from duelake.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,21 @@ def _query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@_query
+def op5_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.judge(documents(spark, directory), labels(spark, directory)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "score",
+    )
+
+
 @_query
 def op7_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
