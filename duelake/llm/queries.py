@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, quality, token_files
+from duelake.llm import byte_bpe, pii, quality, token_files
 from duelake.llm.common import documents, labels
 from duelake.session import shared_folder
 
@@ -21,6 +21,15 @@ def _query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@_query
+def op1_pii(spark: SparkSession, directory: str) -> DataFrame:
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.BASE_KINDS]
+    return pii.annotate(documents(spark, directory)).select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 @_query
 def op5_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.judge(documents(spark, directory), labels(spark, directory)).select(
