@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, pii, quality, token_files
+from duelake.llm import byte_bpe, fingerprints, pii, quality, token_files
 from duelake.llm.common import documents, labels
 from duelake.session import shared_folder
 
@@ -67,3 +67,17 @@ def op9_token_files(spark: SparkSession, directory: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@_query
+def op10_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    return fingerprints.with_edited(documents(spark, directory)).select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.distinct_shingles(F.col("sketch")).alias("distinct_shingles"),
+    )
