@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, fingerprints, pii, quality, token_files
+from duelake.llm import byte_bpe, fingerprints, near_duplicates, pii, quality, token_files
 from duelake.llm.common import documents, labels
 from duelake.session import shared_folder
 
@@ -30,6 +30,11 @@ def op1_pii(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@_query
+def op3_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return near_duplicates.deduplicate(documents(spark, directory))
+
+
 @_query
 def op5_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.judge(documents(spark, directory), labels(spark, directory)).select(
