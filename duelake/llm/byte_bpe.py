@@ -25,10 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from duelake.llm.common import slices, texts_of
+
 #: Pairs are kept as one integer: left * PAIR + right.
 PAIR = 1 << 20
 #: Words kept encoded from one block to the next in a worker; beyond it the store starts anew.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -215,25 +217,13 @@ def _tokens(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in read_ranks(path).items()}
 
 
-def _blocks(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
-    block, held = [], 0
-    for text in texts:
-        block.append(text)
-        held += len(text)
-        if held >= most:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
-
-
 def _extended(df: DataFrame, column: str) -> T.StructType:
     kept = [f for f in df.schema.fields if f.name.lower() != column.lower()]
     return T.StructType([*kept, T.StructField(column, T.BinaryType())])
 
 
 def encode(
-    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", block_bytes: int = 8 << 20
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", block_bytes: int = 4 << 20
 ) -> DataFrame:
     """Replace ``text`` by ``ids``: its token ids as little-endian unsigned 32-bit integers.
 
@@ -244,10 +234,9 @@ def encode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path, pattern)
-        for batch in batches:
+        for batch in slices(batches, text, block_bytes):
             at = batch.schema.names.index(text)
-            texts = [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
-            out = [i for block in _blocks(texts, block_bytes) for i in encoder.block(block)]
+            out = encoder.block(texts_of(batch, text))
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in rest), pa.array(out, pa.binary())],
@@ -263,7 +252,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = _tokens(ranks_path).__getitem__
-        for batch in batches:
+        for batch in slices(batches, ids):
             packed = batch.column(batch.schema.names.index(ids)).to_pylist()
             out = [b"".join(map(token, np.frombuffer(p or b"", "<u4").tolist())) for p in packed]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, decoded])

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +48,21 @@ def labels(spark: SparkSession, directory: str) -> DataFrame:
 def id_crc(column: Column) -> Column:
     """crc32 of an id as text."""
     return F.crc32(column.cast("string").cast("binary"))
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: the text of one, reached row by row, is about ``most`` bytes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column(batch.schema.names.index(column)).cast(pa.binary())
+        sizes = np.diff(np.frombuffer(texts.buffers()[1], "<i4", batch.num_rows + 1, 4 * texts.offset).astype(np.int64))
+        part = (np.cumsum(sizes) - sizes) // most
+        starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+        for start, end in zip(starts, starts[1:], strict=False):
+            yield batch.slice(start, end - start)
+
+
+def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
+    """A text column as UTF-8; a null is empty."""
+    return [t or b"" for t in batch.column(batch.schema.names.index(column)).cast(pa.binary()).to_pylist()]
