@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, fingerprints, near_duplicates, pii, quality, token_files
-from duelake.llm.common import documents, labels
+from duelake.llm import byte_bpe, fingerprints, near_duplicates, pii, quality, token_files, toxicity
+from duelake.llm.common import documents, id_crc, labels
 from duelake.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,24 @@ def op1_pii(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, directory: str) -> dict:
+    """Trained on the labels of documents that are not held out."""
+    training = labels(spark, directory).where(F.pmod(id_crc(F.col("doc_id")), F.lit(5)) != 0)
+    return toxicity.train(docs, training, "doc_id", "text", "toxic")
+
+
+@_query
+def op2_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    return toxicity.score(docs, toxicity_model(spark, docs, directory)).select(
+        "doc_id",
+        (F.pmod(id_crc(F.col("doc_id")), F.lit(5)) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "windows",
+    )
+
+
 @_query
 def op3_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return near_duplicates.deduplicate(documents(spark, directory))
