@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -45,7 +46,11 @@ RUNS = (4, 5, 6, 7, 8)
 #: Thresholds at which windows are counted; distances beyond the ends count as the ends.
 CUTS = (3, 4, 5, 6, 7)
 LEAST, MOST = -3, 9
+#: Longest windows of the length classes; the same distance says more of a short window.
+LENGTHS = (6, 8, 10, 13)
 KEPT_WINDOWS = 400_000
+CLASSES = len(LENGTHS) + 1
+CELLS = (MOST - LEAST + 1) * CLASSES
 
 #: Control characters that no word holds.
 TAIL = bytes(b for b in (*range(1, 9), *range(14, 32)) for _ in (0, 1))[::-1]
@@ -78,13 +83,13 @@ def dictionary(counts: Counter[bytes], size: int) -> bytes:
     for word, _ in sorted(counts.items(), key=lambda item: (-item[1], item[0])):
         if held + len(word) > size:
             break
-        chosen.append(word[:-1])
+        chosen.append(word.rstrip())
         held += len(word)
     return b"".join(reversed(chosen)) + b" " + TAIL
 
 
 def toxic_words(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Counter[bytes]:
-    """Documents with each word of toxic text that holds a telling run of bytes."""
+    """Documents with each telling part of a word of toxic text."""
     found: Counter[bytes] = Counter()
     for words in toxic:
         found.update(set().union(*map(_runs, words)))
@@ -102,14 +107,17 @@ def toxic_words(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Counter[
     telling = {
         run for run, n in frequent.items() if (against[run] + 0.5) / max(1, len(ordinary)) * CONTRAST < n / len(toxic)
     }
-    counts: Counter[bytes] = Counter()
-    for words in toxic:
-        counts.update(w for w in words if not telling.isdisjoint(_runs(w)))
-    return counts
+    return Counter(part for words in toxic for part in {_told(w, telling) for w in words} if part)
+
+
+def _told(window: bytes, telling: set[bytes]) -> bytes:
+    """The part of a window from its first telling run to the end of its last."""
+    spans = [(i, i + n) for n in RUNS for i in range(len(window) - n) if window[i : i + n] in telling]
+    return window[min(a for a, _ in spans) : max(b for _, b in spans)] if spans else b""
 
 
 class Distance:
-    """Distances of windows, remembered."""
+    """Distances of windows, remembered, each with the window's length class: distance * classes + class."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.toxic, self.ordinary = (
@@ -129,13 +137,14 @@ class Distance:
             if word not in known:
                 block = word + TAIL
                 saved = len(self.ordinary.compress(block)) - len(self.toxic.compress(block))
-                known[word] = min(MOST, max(LEAST, saved))
+                known[word] = (min(MOST, max(LEAST, saved)) - LEAST) * CLASSES + bisect_left(LENGTHS, len(word))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
-def described(distances: np.ndarray, weights: np.ndarray) -> list[float]:
+def described(cells: np.ndarray, weights: np.ndarray) -> list[float]:
     """Windows over each threshold, the strongest windows' weights, all positive weight, and its share."""
-    found = np.sort(weights[distances - LEAST])[::-1]
+    distances = cells // CLASSES + LEAST
+    found = np.sort(weights[cells])[::-1]
     strong = found[found > 1].sum()
     return [
         *(math.log1p(int((distances >= cut).sum())) for cut in CUTS),
@@ -147,8 +156,11 @@ def described(distances: np.ndarray, weights: np.ndarray) -> list[float]:
     ]
 
 
-def fit(texts: list[bytes], toxic: list[bool], calibrate: list[bool]) -> dict:
-    """Dictionaries from the texts that are not for calibration, thresholds' weights and logistic model from the others."""
+def fit(texts: list[bytes], toxic: list[bool], calibrate: list[bool], odds: float) -> dict:
+    """Dictionaries from the texts that are not for calibration, windows' weights and logistic model from the others.
+
+    ``odds`` are those of a toxic document among all labelled ones; the sample holds relatively more.
+    """
     kinds = sorted(set(toxic))
     if len(kinds) < 2:
         return {"constant": float(bool(kinds and kinds[0]))}
@@ -164,9 +176,11 @@ def fit(texts: list[bytes], toxic: list[bool], calibrate: list[bool]) -> dict:
         rows = list(range(len(texts)))
     found = [distance(sets[i]) for i in rows]
     y = np.array([toxic[i] for i in rows], float)
-    size = MOST - LEAST + 1
-    counts = {k: sum((np.bincount(d - LEAST, minlength=size) for d, x in zip(found, y, strict=True) if x == k), np.zeros(size)) + 0.5 for k in (0, 1)}
-    weights = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    counts = [sum((np.bincount(d, minlength=CELLS) for d, x in zip(found, y, strict=True) if x == k), np.zeros(CELLS)) for k in (0, 1)]
+    # Twenty windows more on either side, spread as all windows are: a rare cell then says little.
+    prior = (counts[0] + counts[1] + 1e-3) / (counts[0] + counts[1] + 1e-3).sum()
+    shares = [(c + 20 * prior + 0.25) / (c + 20 * prior + 0.25).sum() for c in counts]
+    weights = np.log(shares[1] / shares[0])
     x = np.array([described(d, weights) for d in found])
     mean, spread = x.mean(0), x.std(0) + 1e-9
     design = np.c_[np.ones(len(x)), (x - mean) / spread]
@@ -175,6 +189,7 @@ def fit(texts: list[bytes], toxic: list[bool], calibrate: list[bool]) -> dict:
         p = 1 / (1 + np.exp(-design @ beta))
         hessian = design.T @ (design * (p * (1 - p))[:, None]) + np.eye(len(beta))
         beta += np.linalg.solve(hessian, design.T @ (y - p) - beta)
+    beta[0] += math.log(odds) - math.log(y.sum() / (len(y) - y.sum()))
     return model | {k: v.tolist() for k, v in (("weights", weights), ("mean", mean), ("spread", spread), ("beta", beta))}
 
 
@@ -187,6 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
         .withColumn("_order", F.xxhash64("_labelled"))
     )
     part = lambda kind, most: known.where(F.col("toxic") == kind).orderBy("_order", "_labelled").limit(most)
+    totals = known.agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.count("*").alias("all")).first()
+    odds = (totals["toxic"] or 0) / max(1, totals["all"] - (totals["toxic"] or 0))
     sample = staged(part(True, TOXIC).union(part(False, ORDINARY)), "toxicity-labels")
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(
         F.broadcast(sample), F.col("_id") == F.col("_labelled")
@@ -201,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
             calibrate += batch.column(2).to_pylist()
             order += batch.column(3).to_pylist()
         turn = sorted(range(len(texts)), key=lambda i: (order[i], texts[i]))
-        model = fit(*([xs[i] for i in turn] for xs in (texts, toxic, calibrate)))
+        model = fit(*([xs[i] for i in turn] for xs in (texts, toxic, calibrate)), odds)
         packed = {k: v.hex() if isinstance(v, bytes) else v for k, v in model.items()}
         yield pa.RecordBatch.from_pydict({"model": [json.dumps(packed)]})
 
