@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, fingerprints, near_duplicates, pii, quality, token_files, toxicity
+from duelake.llm import byte_bpe, fingerprints, language_model, near_duplicates, pii, quality, token_files, toxicity
 from duelake.llm.common import documents, id_crc, labels
 from duelake.session import shared_folder
 
@@ -80,6 +80,12 @@ def op7_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@_query
+def op8_language_model(spark: SparkSession, directory: str) -> DataFrame:
+    held_out = F.coalesce(F.pmod(id_crc(F.col("doc_id")), F.lit(7)) == 2, F.lit(False))
+    return language_model.score(documents(spark, directory), ~held_out).withColumn("held_out", held_out)
+
+
 @_query
 def op9_token_files(spark: SparkSession, directory: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -44,7 +45,7 @@ FRAME_BYTES = 1 << 20
 #: Texts encoded together.
 BLOCK_BYTES = 4 << 20
 #: Chunks kept encoded in a worker; beyond it the store starts anew.
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 600_000
 
 
 class TokenFileWriter:
@@ -147,10 +148,14 @@ class TokenFileReader:
 class WordEncoder:
     """Texts to ids with a tokenizer that drops white space and never looks across it.
 
-    Chunks between spaces are encoded once and remembered.  A text that is not in composed
-    Unicode form goes to the tokenizer whole.
+    Chunks between spaces are put together from letters and closing marks, which the tokenizer always
+    encodes apart; each of these is encoded once and remembered.  A text that is not in composed Unicode form
+    goes to the tokenizer whole.
     """
 
+    #: Marks that no rule of the split pattern joins to letters.
+    CLOSING = ".,;:!?%&*#$|)"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -159,20 +164,35 @@ class WordEncoder:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
         self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        kind = "I" if self.wide else "H"
+        return [array(kind, e.ids).tobytes() for e in found]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode chunks by way of the distinct words in them."""
+        cut: list[tuple[str, str, str]] = []
+        for chunk in chunks:
+            body = chunk.rstrip(self.CLOSING)
+            if body.isalpha():
+                cut.append((chunk, body.lower() if body.isascii() else body, chunk[len(body) :]))
+            else:
+                cut.append((chunk, chunk, ""))
+        words = self.words
+        fresh = list({w for _, body, marks in cut for w in (body, marks)}.difference(words))
+        words.update(zip(fresh, self._packed(fresh), strict=True))
+        self.chunks.update((chunk, words[body] + words[marks]) for chunk, body, marks in cut)
 
     def block(self, texts: list[str]) -> list[np.ndarray]:
         from unicodedata import is_normalized
 
         if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks = {}
+            self.chunks, self.words = {}, {}
         plain = [is_normalized("NFC", text) for text in texts]
         split = [text.replace("\n", " ").split(" ") if ok else [] for text, ok in zip(texts, plain, strict=True)]
-        fresh = list(set().union(*split).difference(self.chunks))
-        self.chunks.update(zip(fresh, self._packed(fresh), strict=True))
+        self._learn(set().union(*split).difference(self.chunks))
         whole = iter(self._packed([text for text, ok in zip(texts, plain, strict=True) if not ok]))
         get = self.chunks.__getitem__
         return [
