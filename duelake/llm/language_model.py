@@ -35,7 +35,7 @@ LISTED = 150_000
 WIDTH = 24
 NOISE = 32
 BATCH = 4_096
-RATE = 0.15
+RATE = 0.02
 #: Distinct words that a task gathers before it hands on its counts.
 GATHERED = 400_000
 #: Stands for the end of a text among the words; no word is empty.
