@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, fingerprints, language_model, near_duplicates, pii, quality, token_files, toxicity
+from duelake.llm import byte_bpe, fingerprints, language_model, licences, mixing, near_duplicates, pii, quality, token_files, toxicity
 from duelake.llm.common import documents, id_crc, labels
 from duelake.session import shared_folder
 
@@ -53,6 +53,19 @@ def op3_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return near_duplicates.deduplicate(documents(spark, directory))
 
 
+@_query
+def op4_licences(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents as files below ``source/lang/``."""
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = documents(spark, directory).select("doc_id", path.alias("path"), "text")
+    return licences.scan(files)
+
+
+@_query
+def op6_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.mix(documents(spark, directory)).drop("text_hash")
+
+
 @_query
 def op5_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.judge(documents(spark, directory), labels(spark, directory)).select(
