@@ -1,17 +1,85 @@
-"""Corpus pipeline: named stages over the documents table."""
+"""Corpus pipeline: toxicity, near duplicates, personal data, mixing, tokens.
+
+Every stage takes (spark, docs, sf_dir) and returns a table; it is written as Parquet and read again as the next
+one's ``docs``.  All but the last return the columns of ``documents``.
+
+* toxicity: documents with a score of 0.5 or more go.
+* near duplicates: of each component the document with the smallest id stays; rows without id stay, and of rows that
+  share an id one stays.
+* personal data: every span becomes ``<KIND>``, and ``n_chars`` is counted anew.
+* mixing: sources are taken to the temperature weights, each whole at least once and at most ``REPEATS`` times; a document
+  that is taken again is a further row.
+* tokens: ids of the byte-level BPE (little-endian unsigned 32-bit), in place of the text.
+
+An empty table passes through all stages; columns beyond those of ``documents`` pass through or are dropped by none of
+the stages but the last, which adds ``n_tokens`` and ``ids``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duelake.llm import byte_bpe, mixing, near_duplicates, pii, toxicity
+from duelake.llm.common import documents, staged
+from duelake.llm.queries import toxicity_model
+
+#: Sources may be repeated up to this often in the pipeline's mix.
+REPEATS = 1.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_ordinary(docs, toxicity_model(spark, docs, sf_dir))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = near_duplicates.deduplicate(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    redacted = pii.redact(pii.annotate(docs, keep_text=True))
+    return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of a row come one after another; ``position`` of the mixing table would order them for training."""
+    taken = (
+        mixing.mix(docs, repeats=REPEATS)
+        .groupBy(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash"), F.col("source").alias("taken_source"), "epoch")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("taken_id", "taken_hash", "taken_source")
+        .agg(F.count("*").cast("int").alias("times"))
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("taken_id"))
+        & F.xxhash64("text").eqNullSafe(F.col("taken_hash"))
+        & (F.coalesce("source", F.lit("")) == F.col("taken_source"))
+    )
+    return docs.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
 
-from duelake.llm.common import documents
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", redact_personal_data),
+    ("mixing", mix_sources),
+    ("tokens", encode_tokens),
+]
 
-STAGES: list = []
+#: The classifier, the signatures and the merges have no counterpart in SQL; the tests use brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
