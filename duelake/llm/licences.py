@@ -15,6 +15,9 @@ cosines the first licence by name wins; a directory with several licence files t
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,13 @@ MOSTLY = 0.8
 LICENCE_NAME = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice)[^/]*$"
 
 
+def has_cue(text: Column) -> Column:
+    """Whether a text can hold a passage; a search for four plain strings, as few texts do."""
+    folded = F.lower(text)
+    cues = ("licen", "spdx", "permission is hereby", "redistribution and use")
+    return reduce(or_, (F.contains(folded, F.lit(cue)) for cue in cues))
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
@@ -53,7 +63,6 @@ def frequencies(files: DataFrame, text: str) -> tuple[DataFrame, int]:
     wanted = spark.createDataFrame(TEMPLATES, "licence string, statement string")
     vocabulary = wanted.select(F.explode(terms(F.col("statement"))).alias("term")).distinct()
     listed = sorted(r["term"] for r in vocabulary.collect())
-    # A file whose lower-cased text lacks a term's letters needs no cutting into words; most hold a few short ones.
     held = F.array_intersect(terms(F.coalesce(F.col(text), F.lit(""))), F.array(*map(F.lit, listed)))
     counted = files.select(F.explode(held).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     count = files.count()
@@ -76,7 +85,8 @@ def matches(files: DataFrame, text: str) -> DataFrame:
         .withColumn("unit", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("template"))))
     )
     templates = staged(templates.select("template", "licence", "term", "unit"), "licence-templates")
-    passages = files.select("row", F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(PASSAGE), F.lit(0)))).alias("passage"))
+    found = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(PASSAGE), F.lit(0)))
+    passages = files.where(has_cue(F.col(text))).select("row", F.explode(found).alias("passage"))
     weighed = (
         passages.select("row", "passage", F.explode(terms(F.col("passage"))).alias("term"))
         .groupBy("row", "passage", "term")
@@ -108,7 +118,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     distinct = kept.select("row", text)
     own = staged(matches(distinct, text).dropDuplicates(["row"]), "licence-matches")
     parent = F.regexp_extract(F.col(path), r"^(.*)/[^/]*$", 1)
-    words = F.size(terms(F.coalesce(F.col(text), F.lit(""))))
+    words = F.when(has_cue(F.col(text)), F.size(terms(F.col(text))))
     named = staged(
         kept.select(*rest, "row", F.when(F.col(path).contains("/"), parent).otherwise(F.when(F.col(path).isNotNull(), "")).alias("parent"), words.alias("words"))
         .join(own, "row", "left"),
