@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from duelake.llm.common import fold_ascii, staged, words_of
 
-SIZE = 128
+SIZE = 64
 SHINGLE = 5
 LOWEST = -(2.0**63)
 
@@ -153,19 +153,26 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
         .join(order, "id")
         .select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), "take")
     )
-    turn = F.row_number().over(Window.partitionBy("id").orderBy("text"))
-    heads = rows.where("id is not null").withColumn("turn", turn).where("turn = 1")
+    # Both sides below read the same exchange of the texts by id; a rank filter would put a step before one of them.
+    named = rows.where("id is not null")
+    earlier = F.lag("id").over(Window.partitionBy("id").orderBy("text"))
+    heads = named.withColumn("earlier", earlier).where("earlier is null")
     given = heads.join(need, "id").select(
         F.col("for_id").alias("id"),
         F.substring("text", F.lit(1), F.col("take")).alias("prefix"),
         sketch(F.col("text"), size).alias("next_sketch"),
     )
+    unnamed = rows.where("id is null").select(
+        "id", "text", F.lit("").alias("prefix"), F.lit(None).cast("array<bigint>").alias("next_sketch")
+    )
     cut = third(F.col("text"))
     edited = F.concat(
-        F.substring("text", F.lit(1), F.length("text") - cut),
-        F.substring(F.coalesce("prefix", F.lit("")), F.lit(1), cut),
+        F.substring("text", F.lit(1), F.length("text") - cut), F.substring("prefix", F.lit(1), cut)
     )
-    joined = rows.join(given, "id", "left").select(
-        F.col("id").alias("doc_id"), "text", edited.alias("edited"), sketch(F.col("text"), size).alias("sketch"), "next_sketch"
+    return (
+        named.join(given, "id")
+        .unionByName(unnamed)
+        .select(F.col("id").alias("doc_id"), "text", edited.alias("edited"), "next_sketch")
+        .withColumn("sketch", sketch(F.col("text"), size))
+        .withColumn("edited_sketch", sketch(F.col("edited"), size))
     )
-    return joined.withColumn("edited_sketch", sketch(F.col("edited"), size))
