@@ -67,6 +67,26 @@ def _counted(counts: Counter[bytes]) -> pa.RecordBatch:
     )
 
 
+def common_words(counts: DataFrame, most: int = LISTED) -> dict[bytes, int]:
+    """The commonest words, at most ``most`` of them, commonest first.
+
+    Words are tallied by the size of their count; the smallest count that lets no more than ``most`` words through is
+    the limit, so no task sends more than its share of the list.
+    """
+    size = F.floor(F.log2("c") * 8)
+    tally = counts.groupBy(size.alias("size")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()
+    limit, held = None, 0
+    for row in sorted(tally, key=lambda r: -r["size"]):
+        held += row["n"]
+        if held > most:
+            break
+        limit = row["least"]
+    if limit is None:
+        return {}
+    rows = counts.where(F.col("c") >= limit).collect()
+    return {bytes(r["word"]): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], bytes(r["word"])))}
+
+
 class Weights:
     """Vectors of classes as context and as output, weights of the two positions, biases."""
 
@@ -207,7 +227,7 @@ def score(
     counts = staged(word_counts(docs.where(training), text), "word-counts")
     total = counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("words"), F.sum((F.col("c") == 1).cast("long")).alias("once")).first()
     tokens, words, once = total["tokens"] or 0, total["words"], total["once"] or 0
-    listed = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(LISTED).collect()}
+    listed = common_words(counts)
     classes = {w: i for i, w in enumerate(list(listed)[:CLASSES])}
     rare = len(classes)
     common = [listed[w] for w in classes]
