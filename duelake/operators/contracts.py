@@ -36,7 +36,10 @@ class Rule:
     broken: Callable[[Column], Column]
 
 
-NOT_BLANK = Rule("must not be blank", lambda v: F.trim(v) == "")
+#: White space of every kind; the four separators count as such too.
+BLANK = r"(?U)^[\s\x1c-\x1f]*$"
+
+NOT_BLANK = Rule("must not be blank", lambda v: v.rlike(BLANK))
 NOT_NEGATIVE = Rule("must not be negative", lambda v: v < 0)
 
 

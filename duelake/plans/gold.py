@@ -35,6 +35,18 @@ def _finish(df: DataFrame, table: str, ordered: bool) -> DataFrame:
     return in_order(df, table) if ordered else df
 
 
+def _named(groups: DataFrame, dimension: DataFrame, key: str, name: str, totals: list[str]) -> DataFrame:
+    """Groups with the names of a dimension, as if the rows had been joined before they were grouped.
+
+    A name that a key has in several rows counts its rows that often; shares, means and distinct counts
+    stay.  Names are counted first, so a repeated dimension row adds no row here.
+    """
+    names = dimension.groupBy(key, F.col("name").alias(name)).agg(F.count("*").alias("_times"))
+    times = F.coalesce("_times", F.lit(1))
+    joined = groups.join(names, key, "left")
+    return joined.withColumns({c: F.col(c) * times for c in totals}).drop("_times")
+
+
 def player_performance(stats: DataFrame, events: DataFrame, ordered: bool = True) -> DataFrame:
     """Player totals and means per event."""
     per_event = (
@@ -57,9 +69,9 @@ def player_performance(stats: DataFrame, events: DataFrame, ordered: bool = True
             safe_ratio(F.sum("fk"), F.sum("fk") + F.sum("fd")).alias("fk_rate"),
         )
     )
-    names = events.select("event_id", F.col("name").alias("event_name"))
     measures = [c for c in per_event.columns if c not in ("event_id", "region")]
-    named = per_event.join(names, "event_id", "left").select("event_id", "event_name", "region", *measures)
+    totals = [c for c in measures if c.startswith("total_")]
+    named = _named(per_event, events, "event_id", "event_name", totals).select("event_id", "event_name", "region", *measures)
     return _finish(named, "player_performance", ordered)
 
 
@@ -218,9 +230,9 @@ def team_map_performance(map_scores: DataFrame, teams: DataFrame, ordered: bool
             safe_ratio(deff, deff + F.sum("opp_def_rounds")).alias("def_round_win_rate"),
         )
     )
-    names = teams.select("team_id", F.col("name").alias("team_name"))
     measures = [c for c in per_map.columns if c not in ("team_id", "map_name")]
-    named = per_map.join(names, "team_id", "left").select("team_id", "team_name", "map_name", *measures)
+    totals = [c for c in measures if c.startswith(("total_", "maps_"))]
+    named = _named(per_map, teams, "team_id", "team_name", totals).select("team_id", "team_name", "map_name", *measures)
     return _finish(named, "team_map_performance", ordered)
 
 
@@ -249,6 +261,7 @@ def match_summary(series: DataFrame, map_scores: DataFrame, ordered: bool = True
             decide_winner(s1, s2, F.col("team1_name"), F.col("team2_name"), F.lit(DRAW_LABEL)).alias("winner_name"),
             F.coalesce("total_maps_played", F.lit(0)).alias("total_maps_played"),
         )
+        .distinct()
     )
     return _finish(result, "match_summary", ordered)
 

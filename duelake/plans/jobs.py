@@ -25,7 +25,6 @@ from duelake.session import require_ansi, shared_root
 from duelake.sinks.records import last_accepted, stage_flagged, write_keyed, write_quarantine, write_violations
 from duelake.sinks.tables import ensure_database, publish, rebuild
 from duelake.sources.catalog import build_if_available, register_silver_views
-from duelake.sources.files import run_folders
 from duelake.sources.landed import ORIGIN, raw_frames, raw_path, read_keyed, read_single_objects
 
 
@@ -88,19 +87,25 @@ class Lake:
 def run_backfill(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Scope()) -> dict[str, int]:
     """Landed payloads to bronze records and quarantine.
 
-    Does nothing when bronze already holds series.  Returns counts by type.
+    Does nothing when bronze already holds series of a committed run.  Returns counts by type.
     """
-    if run_folders(spark, raw_path(lake.bronze, "series")):
+    series = read_keyed(spark, lake.bronze, "series")
+    if series is not None and not series.isEmpty():
         return {}
     return ingest(spark, landing, lake, scope)
 
 
 def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Scope()) -> dict[str, int]:
-    """As ``run_backfill`` but for an existing bronze: keys already there are skipped."""
+    """As ``run_backfill`` but for an existing bronze: keys of earlier runs are skipped.
+
+    A run that is repeated works as if its own folders were not there and writes them anew.  What marks
+    a team, a player or the whole backfill as seen lands after everything it stands for, so a run that fails
+    half-way can be repeated under any stamp.
+    """
     require_ansi(spark)
 
     def existing(record_type: str) -> DataFrame | None:
-        records = read_keyed(spark, lake.bronze, record_type)
+        records = read_keyed(spark, lake.bronze, record_type, without_run=lake.run_ts)
         return None if records is None else records.select("record_key")
 
     events = lake.stage("events_in_scope", bronze.scoped_events(landing.events, scope))
@@ -141,7 +146,9 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
             records = last_accepted(flagged).drop("quarantine_key")
             write_keyed(records, lake.bronze, record_type, lake.run_ts)
 
-    side_by_side(land, [t for t in attempts if t != "series"])
+    markers = ("team_info", "player_profiles")
+    side_by_side(land, [t for t in attempts if t not in (*markers, "series")])
+    side_by_side(land, markers)
     # Series go last: their presence is what marks a backfill as done.
     land("series")
     return counts

@@ -7,7 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+#: Shuffled bytes of one starting partition.  The driver keeps track of every map output for every partition, so their
+#: number has to stay in the tens of thousands at 100 TB; adaptive execution splits skewed ones.
+TARGET_PARTITION_BYTES = 2 * 1024**3
 
 
 def build_session(app: str = "duelake", input_bytes: int | None = None, **conf: str) -> SparkSession:

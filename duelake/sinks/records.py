@@ -41,8 +41,8 @@ def last_accepted(flagged: DataFrame, order: str = "_order") -> DataFrame:
 def write_keyed(records: DataFrame, root: str, record_type: str, run_ts: str) -> None:
     """Add one run of records to a bronze dataset.
 
-    The run's own folder is overwritten, so repeating a run changes nothing;
-    readers let the newest run win per key.
+    The run's own folder is overwritten: a repeated run has to write all of its records
+    again, so it must not skip what that folder holds.  Readers let the newest run win per key.
     """
     records.write.mode("overwrite").parquet(f"{raw_path(root, record_type)}/run_ts={run_ts}")
 

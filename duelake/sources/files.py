@@ -16,9 +16,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def run_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the ``run_ts=`` folders of a dataset; none when it does not exist."""
+    """Names of the committed ``run_ts=`` folders of a dataset; none when it does not exist.
+
+    A folder without the marker that a finished write leaves holds what a failed run left behind.
+    """
     fs, where = _filesystem(spark, path)
     if not fs.exists(where):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(where)]
-    return sorted(n for n in names if n.startswith("run_ts="))
+    folders = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("run_ts=")]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(f.getName() for f in folders if fs.exists(marker(f, "_SUCCESS")))

@@ -33,13 +33,26 @@ def with_origin(schema: T.StructType) -> T.StructType:
 def parse_documents(documents: DataFrame, schema: T.StructType, text: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per record: an object is one record, an array holds many.
 
-    Text that is no JSON object or array fails the job.
+    Text that is no JSON object or array, or that goes on after it, fails the job.
     """
-    parsed = F.from_json(text, T.ArrayType(schema), {"mode": "FAILFAST"})
+    parsed = F.from_json(single_value(F.col(text)), T.ArrayType(schema), {"mode": "FAILFAST"})
     whole = F.coalesce(parsed, F.raise_error(F.lit("landed document is not a JSON object or array")).cast(T.ArrayType(schema)))
     return documents.select(*keep, F.posexplode(whole).alias(POS, "record")).select("record.*", *keep, POS)
 
 
+def single_value(text: F.Column) -> F.Column:
+    """The text, if one JSON value is all it holds; else the job fails.
+
+    Spark's parser stops after the first value.  Put in brackets and in braces, anything behind that value is a syntax
+    error or a second element: what closes the one is wrong in the other.
+    """
+    strict = {"mode": "FAILFAST"}
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("\n]")), "array<string>", strict)
+    named = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("\n}")), "v string", strict)
+    problem = F.raise_error(F.lit("landed document holds more than one JSON value")).cast("string")
+    return F.when((F.size(listed) == 1) & named["v"].isNotNull(), text).when(text.isNotNull(), problem)
+
+
 def decoded_key(path: str = "_metadata.file_path") -> F.Column:
     """The object key behind a file URI.
 
@@ -64,19 +77,24 @@ def read_documents(spark: SparkSession, prefix: str, schema: T.StructType) -> Da
 
 
 def read_single_objects(spark: SparkSession, prefix: str, schema: T.StructType) -> DataFrame:
-    """Prefixes of one object per file: Spark's own JSON reader, strict on bad text."""
+    """Prefixes of one object per file; any other text fails the job."""
+    documents = read_documents(spark, prefix, schema)
+    problem = F.raise_error(F.lit("a file of one object holds an array of several")).cast("int")
+    return documents.withColumn(POS, F.when(F.col(POS) == 0, F.lit(0)).otherwise(problem))
+
+
+def read_json_lines(spark: SparkSession, prefix: str, schema: T.StructType) -> DataFrame:
+    """Files of one JSON value a line, as ``write_keyed_json`` leaves them; blank lines are passed over.
+
+    ``_key`` is the file's and ``_pos`` the place in a line that holds an array.
+    """
     try:
-        return (
-            spark.read.schema(schema)
-            .option("recursiveFileLookup", "true")
-            .option("mode", "FAILFAST")
-            .json(prefix, multiLine=True)
-            .select("*", decoded_key().alias(KEY), F.lit(0).alias(POS))
-        )
+        lines = spark.read.option("recursiveFileLookup", "true").text(prefix)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, with_origin(schema))
+    return parse_documents(lines.where(F.trim("value") != "").select("value", decoded_key().alias(KEY)), schema, keep=[KEY])
 
 
 def discover_schema(spark: SparkSession, prefix: str) -> T.StructType:
@@ -93,20 +111,18 @@ def read_landed(spark: SparkSession, root: str, types: Sequence[str] = RECORD_TY
     return {t: read_documents(spark, raw_path(root, t), raw_schema(t)) for t in types}
 
 
-def read_keyed(spark: SparkSession, root: str, record_type: str) -> DataFrame | None:
-    """Records of a bronze dataset, the newest run winning per key; None if never written.
+def read_keyed(spark: SparkSession, root: str, record_type: str, without_run: str | None = None) -> DataFrame | None:
+    """Records of a bronze dataset, the newest run winning per key; None if no run has been committed.
 
-    Runs are appended side by side.  With a single run every key is unique
-    already and no exchange is planned.
+    Runs are appended side by side.  ``without_run`` leaves one out, as a repeated run has to do with its own.
     """
     path = raw_path(root, record_type)
-    runs = run_folders(spark, path)
+    runs = [run for run in run_folders(spark, path) if run != f"run_ts={without_run}"]
     if not runs:
         return None
-    records = spark.read.option("recursiveFileLookup", "false").parquet(path)
-    if len(runs) > 1:
-        records = keep_last(records, ["record_key"], ["run_ts"])
-    return records.drop("run_ts")
+    # Stamps are digits and a T, and stay text as Spark infers them.
+    records = spark.read.option("basePath", path).parquet(*(f"{path}/{run}" for run in runs))
+    return keep_last(records, ["record_key"], ["run_ts"]).drop("run_ts")
 
 
 def keyed_as_raw(spark: SparkSession, root: str, record_type: str) -> DataFrame:

@@ -168,3 +168,17 @@ def test_no_plan_evaluates_python(spark):
     for builder, inputs in gold.BUILDERS.values():
         plan = builder(*[frames[i] for i in inputs])._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Nested" not in plan and "Cartesian" not in plan
+
+
+def test_repeated_dimension_and_series_rows_count_as_a_join_before_grouping(spark):
+    events = spark.createDataFrame([(9, "E"), (9, "E"), (9, "F")], "event_id bigint, name string")
+    found = {r.event_name: r for r in gold.player_performance(stats(spark, {}, {"game_id": 12}), events).collect()}
+    assert {n: (r.total_kills, r.maps_played, r.kd_ratio) for n, r in found.items()} == {"E": (20, 2, 2.5), "F": (10, 2, 2.5)}
+    teams = spark.createDataFrame([(1, "A"), (1, "A"), (2, "B")], "team_id bigint, name string")
+    sides = gold.team_map_performance(maps(spark, (1, 11, "M", 1, True, 7, 6, 2, False, 5, 3)), teams)
+    assert {r.team_name: (r.maps_played, r.maps_won, r.total_att_rounds_won, r.map_win_rate) for r in sides.collect()} == {
+        "A": (2, 2, 14, 1.0),
+        "B": (1, 0, 5, 0.0),
+    }
+    twice = series(spark, (1, 9, 1, 2, 2, 0), (1, 9, 1, 2, 2, 0))
+    assert gold.match_summary(twice, maps(spark, (1, 11, "M", 1, True, 7, 6, 2, False, 5, 3))).count() == 1

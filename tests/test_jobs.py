@@ -298,3 +298,15 @@ def test_hot_match_is_split_in_the_context_join(spark):
     assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
     for key in settings:
         spark.conf.unset(key)
+
+
+def test_runs_that_failed_half_way_and_runs_that_are_repeated(spark, tmp_path):
+    """What a failed write leaves is no run, and a run done twice holds what it held."""
+    made = jobs.Lake(str(tmp_path / "lake"), run_ts="20250401T000000")
+    (tmp_path / "lake" / "bronze" / "series" / "raw" / "run_ts=20240101T000000" / "_temporary").mkdir(parents=True)
+    first = jobs.run_backfill(spark, landing(spark), made)
+    assert first["series_valid"] > 0
+    kept = {t: sorted(r[0] for r in read_keyed(spark, made.bronze, t).select("record_key").collect()) for t in ("series", "player_stats")}
+    again = jobs.ingest(spark, landing(spark), made)
+    assert again["series_valid"] == first["series_valid"]
+    assert kept == {t: sorted(r[0] for r in read_keyed(spark, made.bronze, t).select("record_key").collect()) for t in kept}

@@ -278,3 +278,18 @@ def test_nested_contract_errors_are_prefixed(spark):
         "team1.team_id: not a valid int",
         "team2: required",
     ]
+
+
+def test_starting_partitions_stay_in_the_tens_of_thousands_at_100_tb():
+    from duelake.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 1024**4) == 51_200
+    assert shuffle_partitions_for(1) == 200
+
+
+def test_blank_is_white_space_of_every_kind(spark):
+    from duelake.operators.contracts import BLANK
+
+    texts = ["", " ", "\t\n", "\u00a0\u2003", "\x1c\x85", " a ", "\u200b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.b for r in df.select(F.col("t").rlike(BLANK).alias("b")).collect()] == [t.strip() == "" for t in texts]

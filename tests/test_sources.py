@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from duelake.record_types import CONTRACTS, raw_schema
 from duelake.sources.catalog import listing, register_silver_views, view_available
-from duelake.sources.landed import discover_schema, keyed_as_raw, read_documents, read_landed, read_single_objects
+from duelake.sources.landed import discover_schema, keyed_as_raw, read_documents, read_json_lines, read_landed, read_single_objects
 from conftest import rows
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
@@ -87,3 +87,21 @@ def test_views_of_missing_tables_are_dropped(spark):
     assert register_silver_views(spark, "views_db", ["dim_teams", "dim_players"]) == ["silver_dim_teams"]
     assert view_available(spark, "dim_teams") and not view_available(spark, "dim_players")
     spark.catalog.dropTempView("silver_dim_teams")
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"id": 1} trailing', '{"id": 1}\n{"id": 2}', '{"id": 1}, {"id": 2}', '{"id": 1}] [2', '{"id": 1}, "w": 2', "[1] x", '{"id": 1}}'],
+)
+def test_text_behind_the_first_value_fails(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception):  # noqa: B017
+        read_documents(spark, str(tmp_path), SCHEMA).collect()
+    with pytest.raises(Exception):  # noqa: B017
+        read_single_objects(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_json_lines_keep_every_record(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1"}\n\n{"id": "2"}\n[{"id": "3"}, {"id": "4"}]\n')
+    assert rows(read_json_lines(spark, str(tmp_path), SCHEMA).select("id"), "id") == [("1",), ("2",), ("3",), ("4",)]
+    assert read_json_lines(spark, str(tmp_path / "none"), SCHEMA).count() == 0

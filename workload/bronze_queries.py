@@ -59,7 +59,7 @@ SQL = {
         SELECT MIN(page) AS stop FROM (
             SELECT page FROM {landing_events} GROUP BY page HAVING bool_and(start_date IS NOT NULL AND YEAR(start_date) < 2023)
         ) WHERE page NOT IN (SELECT page FROM {hits})""",
-    "scoped": "SELECT * FROM {hits} WHERE page < (SELECT COALESCE(stop, 999999) FROM {stale})",
+    "scoped": "SELECT * FROM {hits} WHERE (SELECT stop IS NULL FROM {stale}) OR page < (SELECT stop FROM {stale})",
     "candidates": "SELECT DISTINCT match_id FROM {landing_matches} WHERE LOWER(status) = 'completed' AND event_id IN (SELECT id FROM {scoped})",
     "wanted": """SELECT match_id FROM {candidates} WHERE match_id NOT IN
         (SELECT l_orderkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01')""",
@@ -89,7 +89,7 @@ def events(s: Shapes) -> DataFrame:
 @query("bronze_event_counts", """
     SELECT COUNT(*) AS events_total, (SELECT COUNT(*) FROM {scoped}) AS events_in_scope,
            COUNT(*) - (SELECT COUNT(*) FROM {scoped}) AS events_skipped
-    FROM {landing_events} WHERE page <= (SELECT COALESCE(stop, 999999) FROM {stale})""", **SQL)
+    FROM {landing_events} WHERE (SELECT stop IS NULL FROM {stale}) OR page <= (SELECT stop FROM {stale})""", **SQL)
 def event_counts(s: Shapes) -> DataFrame:
     return bronze.event_counts(s["landing_events"], SCOPE)
 

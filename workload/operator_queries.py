@@ -21,8 +21,10 @@ from duelake.operators.filters import (
 from duelake.operators.keys import distinct_ids, keep_last, pk_gate
 from duelake.operators.reshape import attribute, explode_values, flatten_struct, positional
 from duelake.plans.bronze import Scope
+from duelake.session import shared_folder
+from duelake.sinks.records import write_keyed_json
 from duelake.sources.catalog import listing
-from duelake.sources.landed import KEY, POS, parse_documents
+from duelake.sources.landed import KEY, POS, parse_documents, raw_path, read_json_lines
 from workload.registry import last, query
 from workload.shapes import Shapes
 
@@ -44,12 +46,12 @@ def scope_filter(s: Shapes) -> DataFrame:
 
 @query(
     "page_cutoff",
-    f"""
-    SELECT * FROM {{landing_events}} WHERE page < COALESCE((
-        SELECT MIN(page) FROM (
+    "SELECT * FROM {landing_events} WHERE (SELECT stop IS NULL FROM {stale}) OR page < (SELECT stop FROM {stale})",
+    stale=f"""
+        SELECT MIN(page) AS stop FROM (
             SELECT page FROM {{landing_events}} GROUP BY page
             HAVING COUNT(*) = COUNT(start_date) AND MAX(YEAR(start_date)) < 2025
-               AND SUM(CASE WHEN {IN_SCOPE_SQL} THEN 1 ELSE 0 END) = 0)), 999999)""",
+               AND SUM(CASE WHEN {IN_SCOPE_SQL} THEN 1 ELSE 0 END) = 0)""",
 )
 def page_cutoff(s: Shapes) -> DataFrame:
     return before_cutoff(s["landing_events"], Scope().condition())
@@ -232,9 +234,26 @@ def json_props(s: Shapes) -> DataFrame:
     "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS word FROM orders",
 )
 def json_roundtrip(s: Shapes) -> DataFrame:
+    # Written as a run of JSON lines and read back by the reader for them.
+    root = shared_folder(s.spark, "bronze")
     rows = s["orders"].selectExpr("o_orderkey", "cast(o_orderdate as date) as day", "if(o_orderkey % 5 = 0, null, o_orderpriority) as word")
-    written = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    return written.select(F.from_json("value", rows.schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    write_keyed_json(rows, root, "orders", "20250101T000000")
+    return read_json_lines(s.spark, raw_path(root, "orders"), rows.schema).select(rows.columns)
+
+
+@query(
+    "json_documents_and_arrays",
+    """
+    SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS pos FROM orders WHERE o_orderkey % 3 < 2
+    UNION ALL SELECT -o_orderkey, 0 FROM orders WHERE o_orderkey % 3 = 0""",
+)
+def json_documents_and_arrays(s: Shapes) -> DataFrame:
+    # One text an order: an object, or an array of two records.
+    one = F.to_json(F.struct(F.col("o_orderkey").alias("id")))
+    two = F.concat(F.lit(" ["), F.to_json(F.struct((-F.col("o_orderkey")).alias("id"))), F.lit(","), one, F.lit("]\n"))
+    texts = s["orders"].where("o_orderkey % 3 < 2").select(F.when(F.col("o_orderkey") % 3 == 0, two).otherwise(one).alias("value"))
+    parsed = parse_documents(texts, T.StructType.fromDDL("id bigint"))
+    return parsed.select("id", F.col(POS).alias("pos"))
 
 
 @query(

@@ -25,7 +25,7 @@ from workload.gold_queries import SQL as GOLD_SQL
 from workload.registry import query
 from workload.shapes import Shapes
 
-FIRST, SECOND = "20250101T000000", "20250102T000000"
+FIRST, SECOND, THIRD = "20250101T000000", "20250102T000000", "20250103T000000"
 
 
 def scratch_database(s: Shapes) -> str:
@@ -46,14 +46,14 @@ def frame(s: Shapes, rows: list[tuple], schema: str) -> DataFrame:
     "keyed_write",
     f"""
     SELECT CAST(k AS STRING) AS record_key, o_orderkey AS payload FROM
-      (SELECT *, o_custkey % 500 AS k, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS run FROM orders)
-    WHERE run IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY k ORDER BY run DESC, o_orderkey DESC) = 1""",
+      (SELECT *, o_custkey % 500 AS k, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS run FROM orders)
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY k ORDER BY run DESC, o_orderkey DESC) = 1""",
 )
 def keyed_write(s: Shapes) -> DataFrame:
-    # Two runs over overlapping keys, the first one repeated: the newest run wins per key.
+    # Three runs over overlapping keys, the first one repeated: the newest run wins per key.
     root = shared_folder(s.spark, "bronze")
     rows = s["orders"].select((F.col("o_custkey") % 500).cast("string").alias("record_key"), "o_orderkey", "o_orderstatus")
-    for run, status in ((FIRST, "F"), (FIRST, "F"), (SECOND, "O")):
+    for run, status in ((FIRST, "F"), (FIRST, "F"), (SECOND, "O"), (THIRD, "P")):
         newest = keep_last(rows.where(F.col("o_orderstatus") == status), ["record_key"], ["o_orderkey"])
         write_keyed(newest.select("record_key", F.col("o_orderkey").alias("payload")), root, "orders", run)
     return read_keyed(s.spark, root, "orders")
