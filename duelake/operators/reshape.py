@@ -64,27 +64,31 @@ def attribute(df: DataFrame, name: str, default=None) -> Column:
     return default if isinstance(default, Column) else F.lit(default)
 
 
-def action_list(lists: Mapping[str, str]) -> Column:
+def action_list(schema: T.StructType, lists: Mapping[str, str]) -> Column:
     """All action arrays of a match as one array, tagged with their type.
 
-    ``lists`` maps array column to action type, in the order actions count.
+    ``lists`` maps array column to action type, in the order actions count.  Items that lack a team have
+    the default one; a team that is there and null stays null, for the contract to reject.
     """
-    none = F.array().cast("array<struct<team:string,map:string>>")
+    none = F.array().cast("array<struct<action_type:string,team:string,map:string>>")
+
+    def tag(column: str, kind: str):
+        def part(item: Column, name: str, default: Column) -> Column:
+            return item[name] if has_field(schema, f"{column}.{name}") else default
 
-    def tag(kind: str):
         return lambda item: F.struct(
             F.lit(kind).alias("action_type"),
-            F.coalesce(item["team"], F.lit(UNKNOWN)).alias("team"),
-            item["map"].alias("map"),
+            part(item, "team", F.lit(UNKNOWN)).cast("string").alias("team"),
+            part(item, "map", F.lit(None)).cast("string").alias("map"),
         )
 
-    tagged = [F.transform(F.coalesce(F.col(column), none), tag(kind)) for column, kind in lists.items()]
+    tagged = [F.coalesce(F.transform(F.col(column), tag(column, kind)), none) for column, kind in lists.items()]
     return F.concat(*tagged)
 
 
 def explode_actions(df: DataFrame, lists: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
     """One row per action with a running index over all lists of the match."""
-    return df.select(*keep, F.posexplode(action_list(lists)).alias("action_idx", "item")).select(
+    return df.select(*keep, F.posexplode(action_list(df.schema, lists)).alias("action_idx", "item")).select(
         *keep, "action_idx", "item.action_type", "item.team", "item.map"
     )
 

@@ -210,12 +210,12 @@ def map_score_attempts(series_maps: DataFrame) -> DataFrame:
 
 
 def round_attempts(series_maps: DataFrame) -> DataFrame:
-    """One record per map and round; a round without a number is round 0."""
+    """One record per map and round; 0 where rounds carry no number at all, and a null number is rejected."""
     maps = explode_maps(series_maps, ["fetch_seq", "match_id"], ["rounds"])
     df = maps.select("fetch_seq", "match_id", "map_index", F.posexplode("rounds").alias("round_pos", "r")).select(
         "fetch_seq", "match_id", "map_index", "round_pos", "r.*"
     )
-    df = df.withColumn("round_number", F.coalesce(attribute(df, "round_number"), F.lit(0)))
+    df = df.withColumn("round_number", attribute(df, "round_number", 0))
     return flag(
         df,
         "round_results",

@@ -108,9 +108,9 @@ def test_backfill_counts(lake):
     assert counts == {
         "events_total": 3, "events_in_scope": 1, "events_skipped": 2, "events_valid": 1, "events_invalid": 0,
         "series_valid": 2, "series_invalid": 1, "series_missing": 1, "series_skipped": 0,
-        "map_picks_bans_valid": 3, "map_picks_bans_invalid": 0,
+        "map_picks_bans_valid": 2, "map_picks_bans_invalid": 1,
         "player_stats_valid": 3, "player_stats_invalid": 2,
-        "map_scores_valid": 1, "map_scores_invalid": 0, "round_results_valid": 2, "round_results_invalid": 0,
+        "map_scores_valid": 1, "map_scores_invalid": 0, "round_results_valid": 1, "round_results_invalid": 1,
         "event_standings_valid": 3, "team_info_valid": 2, "team_roster_valid": 1, "team_placements_valid": 1,
         "team_transactions_valid": 3, "player_profiles_valid": 2, "player_agent_stats_valid": 2,
     }
@@ -123,11 +123,11 @@ def test_backfill_records(spark, lake):
     keys = {t: {r[0] for r in read_keyed(spark, root, t).select("record_key").collect()} for t in (
         "player_stats", "round_results", "event_standings", "team_transactions", "player_agent_stats", "map_picks_bans")}
     assert keys["player_stats"] == {"100_0_p1", "100_0_p2", "101_0_p1"}
-    assert keys["round_results"] == {"100_0_1", "100_0_0"}
+    assert keys["round_results"] == {"100_0_1"}  # a null number is rejected
     assert keys["event_standings"] == {"9_1st___2nd", "9_None"}
     assert keys["team_transactions"] == {"1_5_2025-03-01", "1_6_None"}
     assert keys["player_agent_stats"] == {"5_x", "5_None"}
-    assert keys["map_picks_bans"] == {"100_pick_0", "100_ban_1", "100_remaining_2"}
+    assert keys["map_picks_bans"] == {"100_pick_0", "100_ban_1"}  # a null team is rejected
     standing = read_keyed(spark, root, "event_standings").where("record_key = '9_1st___2nd'").first()
     assert standing.stage_path == "side"  # a later stage overwrites the same place
     roster = read_keyed(spark, root, "team_roster").first()

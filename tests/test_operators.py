@@ -170,7 +170,7 @@ def test_keys(spark):
     assert rows(df.select(record_key("a", "b"), path_safe(F.col("place")))) == [("1_None", "1st___2nd")]
 
 
-def test_actions_share_one_index_and_default_their_team(spark):
+def test_actions_share_one_index_and_keep_a_null_team(spark):
     kind = "array<struct<team:string,map:string>>"
     df = spark.createDataFrame(
         [(1, [("A", "x"), ("B", "y")], [(None, "z")], [("C", "w")], None)],
@@ -180,11 +180,16 @@ def test_actions_share_one_index_and_default_their_team(spark):
     assert rows(explode_actions(df, lists, ["m"]), "action_idx") == [
         (1, 0, "pick", "A", "x"),
         (1, 1, "pick", "B", "y"),
-        (1, 2, "ban", "unknown", "z"),
+        (1, 2, "ban", None, "z"),
         (1, 3, "remaining", "C", "w"),
     ]
 
 
+def test_actions_without_the_attribute_have_the_default_team(spark):
+    df = spark.createDataFrame([(1, [("x",)], None)], "m int, picks array<struct<map:string>>, bans array<struct<team:string>>")
+    assert rows(explode_actions(df, {"picks": "pick", "bans": "ban"}, ["m"])) == [(1, 0, "pick", "unknown", "x")]
+
+
 def test_explode_drops_null_empty_and_null_elements(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, ["a", None])], "i int, agents array<string>")
     assert rows(explode_values(df, "agents", "agent").select("i", "agent")) == [(3, "a")]

@@ -137,13 +137,13 @@ def series_quarantine(s: Shapes) -> DataFrame:
 
 
 ACTIONS = """
-    SELECT match_id, 'pick' AS action_type, i AS idx, COALESCE(name1, 'unknown') AS team, 'map_' || CAST((match_id + i) % 7 AS STRING) AS map
+    SELECT match_id, 'pick' AS action_type, i AS idx, name1 AS team, 'map_' || CAST((match_id + i) % 7 AS STRING) AS map
     FROM {usable}, RANGE(0, 3) t(i) WHERE i < match_id % 3
     UNION ALL
-    SELECT match_id, 'ban', match_id % 3 + i, CASE WHEN (match_id + i) % 5 = 0 THEN 'unknown' ELSE name2 END, 'map_' || CAST((match_id + i) % 7 AS STRING)
+    SELECT match_id, 'ban', match_id % 3 + i, CASE WHEN (match_id + i) % 5 <> 0 THEN name2 END, 'map_' || CAST((match_id + i) % 7 AS STRING)
     FROM {usable}, RANGE(0, 4) t(i) WHERE i < match_id % 4
     UNION ALL
-    SELECT match_id, 'remaining', match_id % 3 + match_id % 4, 'unknown', CASE WHEN match_id % 6 <> 0 THEN 'decider' END FROM {usable}
+    SELECT match_id, 'remaining', match_id % 3 + match_id % 4, NULL, CASE WHEN match_id % 6 <> 0 THEN 'decider' END FROM {usable}
     UNION ALL
     SELECT match_id, 'map_action', match_id % 3 + match_id % 4 + 1, 'admin', 'swap' FROM {usable} WHERE match_id % 9 = 0"""
 ACTION_KEY = "CAST(match_id AS STRING) || '_' || action_type || '_' || CAST(idx AS STRING)"
@@ -158,7 +158,7 @@ def action_rows(s: Shapes) -> DataFrame:
 
 @query(
     "bronze_map_picks_bans",
-    f"SELECT {ACTION_KEY} AS record_key, match_id, action_type, action_type AS action, team, map FROM {{actions}} WHERE map IS NOT NULL",
+    f"SELECT {ACTION_KEY} AS record_key, match_id, action_type, action_type AS action, team, map FROM {{actions}} WHERE map IS NOT NULL AND team IS NOT NULL",
     actions=ACTIONS,
     **SQL,
 )
@@ -168,7 +168,8 @@ def map_picks_bans(s: Shapes) -> DataFrame:
 
 @query(
     "bronze_map_picks_bans_quarantine",
-    f"SELECT {ACTION_KEY} AS record_key, 'map: required' AS problems FROM {{actions}} WHERE map IS NULL",
+    f"SELECT {ACTION_KEY} AS record_key, CONCAT_WS('|', CASE WHEN team IS NULL THEN 'team: required' END, "
+    f"CASE WHEN map IS NULL THEN 'map: required' END) AS problems FROM {{actions}} WHERE map IS NULL OR team IS NULL",
     actions=ACTIONS,
     **SQL,
 )
@@ -243,7 +244,8 @@ def map_scores(s: Shapes) -> DataFrame:
 
 
 ROUNDS = """
-    SELECT maps.*, j, CASE WHEN (m + j) % 14 = 0 THEN 0 ELSE j + 1 END AS round_number FROM {maps} maps, RANGE(0, 3) r(j) WHERE j <= m % 3"""
+    SELECT maps.*, j, CASE WHEN (m + j) % 14 <> 0 THEN j + 1 END AS round_number,
+           (m + j) % 21 <> 0 AND (m + j) % 14 <> 0 AS good FROM {maps} maps, RANGE(0, 3) r(j) WHERE j <= m % 3"""
 
 
 @query(
@@ -252,7 +254,7 @@ ROUNDS = """
     SELECT CAST(m AS STRING) || '_' || CAST(i AS STRING) || '_' || CAST(round_number AS STRING) AS record_key, m AS match_id, i AS map_index,
            round_number, CASE WHEN j % 2 = 0 THEN 'attack' ELSE 'defence' END AS winner_side, 'elim' AS method, j AS score_team1,
            CAST(0 AS BIGINT) AS score_team2, CAST(id1 AS BIGINT) AS winner_team_id, 's1' AS winner_team_short, name1 AS winner_team_name
-    FROM {rounds} WHERE (m + j) % 21 <> 0""",
+    FROM {rounds} WHERE good""",
     rounds=ROUNDS,
     **SQL,
 )
@@ -260,7 +262,39 @@ def round_results(s: Shapes) -> DataFrame:
     return records(bronze.round_attempts(Backfill(s).maps))
 
 
-@query("explode_maps_rounds", "SELECT COUNT(*) AS attempts, COUNT(*) FILTER ((m + j) % 21 = 0) AS bad FROM {rounds}", rounds=ROUNDS, **SQL)
+@query(
+    "bronze_round_results_quarantine",
+    """
+    SELECT CAST(m AS STRING) || '_' || CAST(i AS STRING) || '_unknown' AS record_key, COUNT(*) AS rounds
+    FROM {rounds} WHERE NOT good GROUP BY 1""",
+    rounds=ROUNDS,
+    **SQL,
+)
+def round_results_quarantine(s: Shapes) -> DataFrame:
+    return envelopes(bronze.round_attempts(Backfill(s).maps)).groupBy("record_key").agg(F.count("*").alias("rounds"))
+
+
+@query(
+    "bronze_events_quarantine",
+    "SELECT CAST(id AS STRING) AS record_key FROM {scoped} WHERE NOT (status IS NOT NULL AND TRIM(name) <> '')",
+    **SQL,
+)
+def events_quarantine(s: Shapes) -> DataFrame:
+    return envelopes(bronze.event_attempts(s["landing_events"], SCOPE)).select("record_key")
+
+
+@query(
+    "bronze_map_scores_quarantine",
+    """
+    SELECT CAST(m AS STRING) || '_' || CAST(i AS STRING) AS record_key FROM {maps}
+    WHERE (m + i) % 8 = 0 AND (m + i) % 11 <> 0""",
+    **SQL,
+)
+def map_scores_quarantine(s: Shapes) -> DataFrame:
+    return envelopes(bronze.map_score_attempts(Backfill(s).maps)).select("record_key")
+
+
+@query("explode_maps_rounds", "SELECT COUNT(*) AS attempts, COUNT(*) FILTER (NOT good) AS bad FROM {rounds}", rounds=ROUNDS, **SQL)
 def explode_maps_rounds(s: Shapes) -> DataFrame:
     flagged = bronze.round_attempts(Backfill(s).maps)
     return flagged.agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.size(ERRORS) > 0).alias("bad"))
@@ -402,10 +436,10 @@ def player_agent_stats(s: Shapes) -> DataFrame:
     f"""
     SELECT 'events' AS record_type, COUNT(*) FILTER (status IS NOT NULL) AS valid, COUNT(*) FILTER (status IS NULL) AS invalid FROM {{scoped}}
     UNION ALL SELECT 'series', COUNT(*) FILTER ({SERIES_OK}), COUNT(*) FILTER (NOT ({SERIES_OK})) FROM {{usable}}
-    UNION ALL SELECT 'map_picks_bans', COUNT(map), COUNT(*) - COUNT(map) FROM {{actions}}
+    UNION ALL SELECT 'map_picks_bans', COUNT(map || team), COUNT(*) - COUNT(map || team) FROM {{actions}}
     UNION ALL SELECT 'player_stats', COUNT(*) FILTER ({STAT_OK}), COUNT(*) FILTER (NOT ({STAT_OK})) FROM {{players}}
     UNION ALL SELECT 'map_scores', COUNT(*) FILTER ((m + i) % 8 <> 0), COUNT(*) FILTER ((m + i) % 8 = 0) FROM {{maps}} WHERE (m + i) % 11 <> 0
-    UNION ALL SELECT 'round_results', COUNT(*) FILTER ((m + j) % 21 <> 0), COUNT(*) FILTER ((m + j) % 21 = 0) FROM {{rounds}}""",
+    UNION ALL SELECT 'round_results', COUNT(*) FILTER (good), COUNT(*) FILTER (NOT good) FROM {{rounds}}""",
     actions=ACTIONS,
     rounds=ROUNDS,
     **SQL,
