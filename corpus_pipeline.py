@@ -11,8 +11,8 @@ one's ``docs``.  All but the last return the columns of ``documents``.
   that is taken again is a further row.
 * tokens: ids of the byte-level BPE (little-endian unsigned 32-bit), in place of the text.
 
-An empty table passes through all stages; columns beyond those of ``documents`` pass through or are dropped by none of
-the stages but the last, which adds ``n_tokens`` and ``ids``.
+An empty table passes through all stages, and further columns pass through all of them; the last puts ``ids`` and
+``n_tokens`` in place of the text.
 """
 
 from __future__ import annotations
@@ -48,10 +48,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of a row come one after another; ``position`` of the mixing table would order them for training."""
     taken = (
         mixing.mix(docs, repeats=REPEATS)
-        .groupBy(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash"), F.col("source").alias("taken_source"), "epoch")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("taken_id", "taken_hash", "taken_source")
-        .agg(F.count("*").cast("int").alias("times"))
+        .groupBy(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash"), F.col("source").alias("taken_source"))
+        .agg(F.countDistinct("epoch").cast("int").alias("times"))  # a repeated row is taken once for each of its rows
     )
     same = (
         F.col("doc_id").eqNullSafe(F.col("taken_id"))
