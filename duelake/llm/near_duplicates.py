@@ -130,22 +130,24 @@ def prefixes(posted: DataFrame, need: Column) -> DataFrame:
     Two ids with at least ``need`` tokens in common share one of these, as both are ordered alike.  ``left`` counts
     the shared tokens from this one on; the first token that a pair shares bounds its overlap by that.
     """
+    others = [c for c in posted.columns if c != "token"]
     shared = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     ranked = F.sort_array(F.collect_list(F.struct("n", "token")))
     return (
         posted.join(shared, "token")
-        .groupBy("id", "size")
+        .groupBy(*others)
         .agg(ranked.alias("ranked"))
         .where(F.size("ranked") >= need)
-        .select("id", "size", F.size("ranked").alias("shared"), F.posexplode(F.slice("ranked", F.lit(1), (F.size("ranked") - need + 1).cast("int"))).alias("turn", "r"))
-        .select(F.col("r.token").alias("token"), "id", "size", (F.col("shared") - F.col("turn")).alias("left"))
+        .withColumn("shared", F.size("ranked"))
+        .select(*others, "shared", F.posexplode(F.slice("ranked", F.lit(1), (F.col("shared") - need + 1).cast("int"))).alias("turn", "r"))
+        .select(F.col("r.token").alias("token"), *others, (F.col("shared") - F.col("turn")).alias("left"))
     )
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(``token``, ``id``, ``size``) for every coordinate; a token holds the coordinate's place and value."""
+    """(``token``, ``id``) for every coordinate; a token holds the coordinate's place and value."""
     token = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return classes.select("id", "size", F.posexplode("signature").alias("place", "value")).select("id", "size", token.alias("token"))
+    return classes.select("id", F.posexplode("signature").alias("place", "value")).select("id", token.alias("token"))
 
 
 def _alike(left: Column, right: Column) -> Column:
@@ -176,7 +178,8 @@ def _open_lists(posted: DataFrame, joined: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Edges between classes that join exactly those that links connect."""
-    posted = staged(prefixes(staged(postings(classes), "postings"), F.lit(MATCHES)), "prefixes")
+    # The postings are the largest table here; they are unrolled from the signatures twice instead of being written.
+    posted = staged(prefixes(postings(classes), F.lit(MATCHES)).join(classes.select("id", "size"), "id"), "prefixes")
     wanted = posted.select("id").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
     sets = staged(
