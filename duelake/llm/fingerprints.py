@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from duelake.llm.common import fold_ascii, staged, words_of
 
-SIZE = 64
+SIZE = 128
 SHINGLE = 5
 LOWEST = -(2.0**63)
 

@@ -223,6 +223,14 @@ def test_fingerprints(docs, empty, spark):
     assert row.c == pytest.approx(1.0) and row.n == len(shingle_set(BASE))
 
 
+def test_sketches_hold_128_hashes(spark):
+    # 124 words give 120 shingles: all of them fit in a sketch, so they are counted exactly.
+    rows = spark.createDataFrame([(" ".join(f"w{i}" for i in range(124)), LONG)], "short string, long string")
+    short, long = fingerprints.sketch(F.col("short")), fingerprints.sketch(F.col("long"))
+    row = rows.select(fingerprints.distinct_shingles(short).alias("n"), F.size(long).alias("held")).first()
+    assert row.n == 120 and row.held == 128
+
+
 def test_lowest_of_a_long_array_equals_sorting(spark):
     row = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.xxhash64(i)).alias("h"))
     found = row.select(fingerprints.lowest(F.col("h"), 64).alias("low"), "h").first()
