@@ -33,7 +33,7 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 SECRET = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{16,}+"
-NUMBER = r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[\x20-][0-9]{2,4}[\x20-][0-9]{3,4}(?![0-9.-])"
+NUMBER = r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[\x20-][0-9]{2,4}[\x20-][0-9]{3,4}(?![0-9]|[.-][0-9])"
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("secret", "number")
 

@@ -179,6 +179,21 @@ def test_personal_data(docs, empty):
     assert redacted[8].text == LONG and redacted[1].text is None
 
 
+def test_numbers_at_the_end_of_a_sentence(spark):
+    texts = {
+        1: ("Call 555-123-4567.", ["555-123-4567"]),
+        2: ("SSN 123-45-6789. Next", ["123-45-6789"]),
+        3: ("Call (555) 123-4567- or not", ["(555) 123-4567"]),
+        4: ("Call 555-123-4567", ["555-123-4567"]),
+        5: ("no 555-123-4567.8 and 555-123-4567-8 and 555-123-45678", []),
+    }
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    out = by_id(pii.find(rows))
+    assert {i: [c.value for c in out[i].candidates] for i in texts} == {i: found for i, (_, found) in texts.items()}
+    redacted = by_id(pii.redact(pii.annotate(rows, keep_text=True)))
+    assert redacted[1].text == "Call <NUMBER>." and redacted[2].text == "SSN <NUMBER>. Next"
+
+
 @pytest.mark.parametrize(
     "text",
     [
