@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from duelake.record_types import CONTRACTS, raw_schema
 from duelake.sources.catalog import listing, register_silver_views, view_available
-from duelake.sources.landed import discover_schema, keyed_as_raw, read_documents, read_json_lines, read_landed, read_single_objects
+from duelake.sources.landed import discover_schema, keyed_as_raw, parse_documents, read_documents, read_json_lines, read_landed, read_single_objects
 from conftest import rows
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
@@ -105,3 +105,14 @@ def test_json_lines_keep_every_record(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": "1"}\n\n{"id": "2"}\n[{"id": "3"}, {"id": "4"}]\n')
     assert rows(read_json_lines(spark, str(tmp_path), SCHEMA).select("id"), "id") == [("1",), ("2",), ("3",), ("4",)]
     assert read_json_lines(spark, str(tmp_path / "none"), SCHEMA).count() == 0
+
+
+def test_every_order_becomes_a_document(spark, monkeypatch):
+    from workload import operator_queries
+
+    parsed = []
+    monkeypatch.setattr(operator_queries, "parse_documents", lambda texts, schema: parsed.append(texts) or parse_documents(texts, schema))
+    orders = spark.createDataFrame([(1,), (2,), (3,)], "o_orderkey long")
+    out = operator_queries.json_documents_and_arrays({"orders": orders})
+    assert parsed[0].count() == 3
+    assert sorted((r.id, r.pos) for r in out.collect()) == [(-3, 0), (1, 0), (3, 1)]
