@@ -14,7 +14,7 @@
 4. Of each candidate pair the collisions over all coordinates are counted, and pairs that reach ``MATCHES`` are
    confirmed on the full sets.
 
-With 96 coordinates and 64 matches a pair at a similarity of 0.85 is missed with a probability of about 2e-7.
+With 96 coordinates and 64 matches a pair at a similarity of 0.85 is missed with a probability of about 2e-6.
 
 Edge cases: a null text or one without words has an empty set and is linked with nothing; a row without id keeps a null
 component and stays; rows that share an id are one node, and of these one row stays.
