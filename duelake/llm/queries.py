@@ -8,12 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.llm import byte_bpe, fingerprints, language_model, licences, mixing, near_duplicates, pii, quality, token_files, toxicity
+from duelake.llm import (
+    byte_bpe,
+    collocations,
+    conversations,
+    fingerprints,
+    language_model,
+    licences,
+    line_dedup,
+    mixing,
+    near_duplicates,
+    pii,
+    quality,
+    sql,
+    token_files,
+    toxicity,
+)
 from duelake.llm.common import documents, id_crc, labels
 from duelake.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_line_dedup": sql.LINE_DEDUP,
+    "op12_conversations": sql.CONVERSATIONS,
+    "op13_collocations": sql.COLLOCATIONS,
+}
 
 
 def _query(build: Callable[[SparkSession, str], DataFrame]):
@@ -123,3 +142,21 @@ def op10_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
         fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
         fingerprints.distinct_shingles(F.col("sketch")).alias("distinct_shingles"),
     )
+
+
+@_query
+def op11_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    index = line_dedup.LineIndex(spark, shared_folder(spark, "line-index"), threshold=10, least=1).insert(docs)
+    return index.clean(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query
+def op12_conversations(spark: SparkSession, directory: str) -> DataFrame:
+    rows = conversations.damaged(spark.read.parquet(f"{directory}/conversations.parquet"))
+    return conversations.audits(rows).drop("messages")
+
+
+@_query
+def op13_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations.collocations(documents(spark, directory), least=30, share=80, top=2_000)
