@@ -38,7 +38,9 @@ BITMAP_BITS = 1 << 26
 #: Bits of one row of Spark's bitmap aggregate.
 ROW_BITS = 32_768
 #: Bytes of text counted together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
+#: Rows of one batch that a task hands on.
+ROWS_HANDED = 50_000
 #: Distinct words a task keeps between blocks.
 WORDS_KEPT = 300_000
 #: Marks that end a piece become a full stop, tabs a space, A-Z a-z.
@@ -66,9 +68,11 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
     yield from ((lang, tokens(texts)) for lang, texts in held.items())
 
 
-def _counts(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(counts), np.int32)), pa.array([lang])).cast(pa.string())
-    return pa.RecordBatch.from_arrays([langs, phrases.cast(pa.string()), pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
+def _counts(lang: str, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(counts), ROWS_HANDED):
+        part = pa.array(counts[start : start + ROWS_HANDED], pa.int64())
+        texts = phrases.slice(start, ROWS_HANDED).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(part)), texts, part], names=["lang", "phrase", "f"])
 
 
 def _summed(parts: DataFrame) -> DataFrame:
@@ -112,7 +116,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             found = Counter(words)
             found.pop(STOP, None)
             if found:
-                yield _counts(lang, pa.array(list(found), pa.binary()), np.fromiter(found.values(), np.int64, len(found)))
+                yield from _counts(lang, pa.array(list(found), pa.binary()), np.fromiter(found.values(), np.int64, len(found)))
 
     return _summed(docs.mapInArrow(run, COUNTS))
 
@@ -149,7 +153,7 @@ def count_pairs(docs: DataFrame, admitted_words, bits: int = BITMAP_BITS) -> Dat
             at = np.flatnonzero((code[:-1] >= 0) & (code[1:] >= 0))
             if len(at):
                 pairs, counts = np.unique(code[at] * len(names) + code[at + 1], return_counts=True)
-                yield _counts(lang, _phrases(names, pairs // len(names), pairs % len(names)), counts)
+                yield from _counts(lang, _phrases(names, pairs // len(names), pairs % len(names)), counts)
 
     return _summed(docs.mapInArrow(run, COUNTS))
 
@@ -177,7 +181,7 @@ def count_longer(docs: DataFrame, admitted_words, admitted_pairs, bits: int = BI
                 if len(at):
                     _, first, counts = np.unique(key, return_index=True, return_counts=True)
                     size = 3 if at is three else 4
-                    yield _counts(lang, _phrases(names, *(code[at[first] + i] for i in range(size))), counts)
+                    yield from _counts(lang, _phrases(names, *(code[at[first] + i] for i in range(size))), counts)
 
     return _summed(docs.mapInArrow(run, COUNTS))
 
