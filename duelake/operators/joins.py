@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelake.operators.keys import keep_last
+from duelake.operators.keys import VIOLATION, keep_last
 
 
 def resolve_event(series: DataFrame, events: DataFrame, bring: Sequence[str] = ("region",)) -> DataFrame:
@@ -34,3 +34,22 @@ def attach(facts: DataFrame, context: DataFrame, on: str = "match_id") -> DataFr
 def last_context(context: DataFrame, on: str, order: Sequence[str]) -> DataFrame:
     """The context row a keep-last gate after the join would have kept."""
     return keep_last(context.where(F.col(on).isNotNull()), [on], order)
+
+
+#: Marks the row of a context that keep-last would take for its key.
+LAST = "_last"
+
+
+def marked_context(context: DataFrame, on: str, order: Sequence[str]) -> DataFrame:
+    """All context rows that can be met, the last one of each key marked; the order columns go."""
+    newest_first = [F.col(c).desc_nulls_last() for c in order]
+    rank = F.row_number().over(Window.partitionBy(on).orderBy(*newest_first))
+    return context.where(F.col(on).isNotNull()).withColumn(LAST, rank == 1).drop(*order)
+
+
+def attach_flagged(facts: DataFrame, context: DataFrame, on: str = "match_id") -> DataFrame:
+    """``attach`` for a flagged frame in one join: clean rows meet the last context row, violations all of them."""
+    brought = [c for c in context.columns if c not in (on, LAST)]
+    there = context.withColumnRenamed(on, "__on")
+    same = (F.col(on) == F.col("__on")) & (F.col(VIOLATION) | F.col(LAST))
+    return facts.join(there, same, "left").select(*facts.columns, *brought)

@@ -50,6 +50,21 @@ def pk_gate(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Split:
     return Split(keep_last(df.where(~broken), keys, order), df.where(broken))
 
 
+#: Marks the rows of a flagged frame whose key is incomplete.
+VIOLATION = "_violation"
+
+
+def pk_flagged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Both sides of ``pk_gate`` in one frame and one pass: the last row of every key and all violations, marked.
+
+    Each violation is a group of its own, so the row-number filter keeps it and nulls do not meet in one task.
+    """
+    own = "__own"
+    broken = any_null(keys)
+    marked = df.withColumns({VIOLATION: broken, own: F.when(broken, F.monotonically_increasing_id())})
+    return keep_last(marked, [*keys, own], order).drop(own)
+
+
 def real_id(column: Column) -> Column:
     """An id that names something: neither null nor zero."""
     return column.isNotNull() & (column != 0)

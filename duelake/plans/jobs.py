@@ -16,16 +16,26 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelake.operators.keys import Split
+from duelake.commits import commit, new_attempt
+from duelake.operators.keys import VIOLATION
 from duelake.plans import bronze, gold, silver
 from duelake.plans.bronze import Landing, Scope
 from duelake.record_types import QUARANTINED, RECORD_TYPES, raw_schema
 from duelake.registry import GOLD, LEGACY_PARTITIONS, SILVER
 from duelake.session import require_ansi, shared_root
-from duelake.sinks.records import last_accepted, stage_flagged, write_keyed, write_quarantine, write_violations
-from duelake.sinks.tables import ensure_database, publish, rebuild
+from duelake.sinks.records import last_accepted, stage_flagged, write_attempt, write_objects, write_quarantine, write_violations
+from duelake.sinks.tables import counted, ensure_database, publish_flagged, rebuild
 from duelake.sources.catalog import build_if_available, register_silver_views
-from duelake.sources.landed import ORIGIN, raw_frames, raw_path, read_keyed, read_single_objects
+from duelake.sources.landed import (
+    ORIGIN,
+    compact_runs,
+    lake_objects,
+    object_keys,
+    raw_frames,
+    raw_path,
+    read_keyed,
+    read_single_objects,
+)
 
 
 def _now() -> str:
@@ -67,6 +77,13 @@ class Lake:
     def rejects(self) -> str:
         return f"{self.root.rstrip('/')}/silver"
 
+    def keys(self, spark: SparkSession, record_type: str, without_run: str | None = None) -> DataFrame | None:
+        """(``record_key``) of the records that are there; None if there are none."""
+        if self.bronze_format == "json":
+            return object_keys(spark, self.bronze, record_type)
+        records = read_keyed(spark, self.bronze, record_type, without_run)
+        return None if records is None else records.select("record_key")
+
     def raw(self, spark: SparkSession, *types: str) -> dict[str, DataFrame]:
         """Raw frames, JSON documents first compacted to Parquet once per run."""
         frames = raw_frames(spark, self.bronze, self.bronze_format, types)
@@ -76,9 +93,14 @@ class Lake:
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write once per run and read back: a durable stand-in for a cached frame."""
+        return self.stage_counted(name, df)[0]
+
+    def stage_counted(self, name: str, df: DataFrame) -> tuple[DataFrame, int]:
+        """``stage`` with the number of rows, which the write reports."""
         path = f"{self.staging(df.sparkSession)}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        rows, seen = counted(df)
+        rows.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
 # ---- bronze -----------------------------------------------------------------
@@ -89,7 +111,7 @@ def run_backfill(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope
 
     Does nothing when bronze already holds series of a committed run.  Returns counts by type.
     """
-    series = read_keyed(spark, lake.bronze, "series")
+    series = lake.keys(spark, "series")
     if series is not None and not series.isEmpty():
         return {}
     return ingest(spark, landing, lake, scope)
@@ -98,15 +120,19 @@ def run_backfill(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope
 def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Scope()) -> dict[str, int]:
     """As ``run_backfill`` but for an existing bronze: keys of earlier runs are skipped.
 
-    A run that is repeated works as if its own folders were not there and writes them anew.  What marks
-    a team, a player or the whole backfill as seen lands after everything it stands for, so a run that fails
-    half-way can be repeated under any stamp.
+    In the keyed form every attempt writes folders of its own, and one manifest makes all of them count when the last is
+    complete: an attempt that fails changes nothing, and a run that is repeated works as if it had not been there and
+    takes the place of its earlier attempt at that moment.  In the JSON form an object counts when it is
+    written; what marks a team, a player or the whole backfill as seen lands after everything it stands for.  So
+    a run that fails half-way can be repeated under any stamp.
     """
     require_ansi(spark)
+    attempt = new_attempt()
+    written: dict[str, str] = {}
+    refused: dict[str, str] = {}
 
     def existing(record_type: str) -> DataFrame | None:
-        records = read_keyed(spark, lake.bronze, record_type, without_run=lake.run_ts)
-        return None if records is None else records.select("record_key")
+        return lake.keys(spark, record_type, without_run=lake.run_ts)
 
     events = lake.stage("events_in_scope", bronze.scoped_events(landing.events, scope))
     candidates = lake.stage("candidates", bronze.candidate_matches(landing.matches, events))
@@ -141,85 +167,105 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
         if record_type in QUARANTINED:
             counts[f"{record_type}_invalid"] = tally["invalid"]
             if tally["invalid"]:
-                write_quarantine(flagged, lake.bronze, record_type, lake.run_ts)
+                write_quarantine(flagged, lake.bronze, record_type, lake.run_ts, attempt=attempt)
+                refused[record_type] = attempt
         if tally["valid"]:
             records = last_accepted(flagged).drop("quarantine_key")
-            write_keyed(records, lake.bronze, record_type, lake.run_ts)
+            if lake.bronze_format == "json":
+                write_objects(records, lake.bronze, record_type)
+            else:
+                write_attempt(records, lake.bronze, record_type, lake.run_ts, attempt)
+                written[record_type] = attempt
 
     markers = ("team_info", "player_profiles")
     side_by_side(land, [t for t in attempts if t not in (*markers, "series")])
     side_by_side(land, markers)
     # Series go last: their presence is what marks a backfill as done.
     land("series")
+    commit(spark, lake.bronze, lake.run_ts, written, refused)
+    return counts
+
+
+def compact_bronze(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Snapshots of every record type, so later jobs compare only the runs since; their rows by type."""
+    return side_by_side(
+        lambda t: spark.read.parquet(made.path).count() if (made := compact_runs(spark, lake.bronze, t)) else 0, RECORD_TYPES
+    )
+
+
+def keyed_from_objects(spark: SparkSession, objects: Lake, keyed: Lake) -> dict[str, int]:
+    """Merge the small JSON objects of one lake into a run of a keyed lake; the records by type."""
+    attempt = new_attempt()
+    counts: dict[str, int] = {}
+
+    def one(record_type: str) -> None:
+        records = lake_objects(spark, objects.bronze, record_type)
+        rows, seen = counted(records)
+        write_attempt(rows, keyed.bronze, record_type, keyed.run_ts, attempt)
+        counts[record_type] = seen.get["rows"]
+
+    side_by_side(one, RECORD_TYPES)
+    commit(spark, keyed.bronze, keyed.run_ts, {t: attempt for t, n in counts.items() if n})
     return counts
 
 
 # ---- silver -----------------------------------------------------------------
 
 
-def _publish(spark: SparkSession, lake: Lake, splits: Mapping[str, Split]) -> dict[str, int]:
-    """Quarantine the violations and replace the table, for each split."""
+def _publish(spark: SparkSession, lake: Lake, flagged: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Replace each table and quarantine its violations, from one write of its flagged rows."""
 
     def one(table: str) -> tuple[int, int]:
-        clean, violations = splits[table]
-        rejected = write_violations(spark, violations, lake.rejects, table, lake.run_ts)
         name = f"{lake.silver}.{table}"
-        return publish(spark, name, clean, SILVER[table].partitions, fmt=lake.table_format), rejected
+        written, violations, rejected = publish_flagged(spark, name, flagged[table], SILVER[table].partitions, fmt=lake.table_format)
+        if violations is not None:
+            write_violations(spark, violations, lake.rejects, table, lake.run_ts)
+        return written, rejected
 
-    done = side_by_side(one, splits)
+    done = side_by_side(one, flagged)
     return {**{t: n for t, (n, _) in done.items()}, "quarantined": sum(r for _, r in done.values())}
 
 
-def _publish_each(spark: SparkSession, lake: Lake, transforms: Mapping[str, Callable]) -> dict[str, int]:
+def _publish_dimensions(spark: SparkSession, lake: Lake, tables: Iterable[str]) -> dict[str, int]:
     require_ansi(spark)
     ensure_database(spark, lake.silver)
-    raw = lake.raw(spark, *[SILVER[t].source for t in transforms])
-    return _publish(spark, lake, {t: transform(raw[SILVER[t].source]) for t, transform in transforms.items()})
+    raw = lake.raw(spark, *[SILVER[t].source for t in tables])
+    return _publish(spark, lake, {t: silver.flagged_dimension(raw[SILVER[t].source], t) for t in tables})
+
+
+DIMS = ("dim_events", "dim_teams", "dim_team_roster", "dim_players")
+META_FACTS = ("fact_player_agent_stats", "fact_event_standings", "fact_team_placements", "fact_team_transactions")
 
 
 def run_dims(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    return _publish_each(
-        spark,
-        lake,
-        {
-            "dim_events": silver.dim_events,
-            "dim_teams": silver.dim_teams,
-            "dim_team_roster": silver.dim_team_roster,
-            "dim_players": silver.dim_players,
-        },
-    )
+    return _publish_dimensions(spark, lake, DIMS)
 
 
 def run_facts_meta(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    return _publish_each(
-        spark,
-        lake,
-        {
-            "fact_player_agent_stats": silver.fact_player_agent_stats,
-            "fact_event_standings": silver.fact_event_standings,
-            "fact_team_placements": silver.fact_team_placements,
-            "fact_team_transactions": silver.fact_team_transactions,
-        },
-    )
+    return _publish_dimensions(spark, lake, META_FACTS)
 
 
 MATCH_FACTS = ("fact_player_stats", "fact_map_scores", "fact_round_results", "fact_map_picks_bans")
 
 
-def run_facts_match(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    """Match facts; events are read from bronze again, not from their table.
+def _match_tables(lake: Lake, raw: Mapping[str, DataFrame], events: DataFrame) -> dict[str, DataFrame]:
+    """Series and the four match facts, flagged.
 
-    The lookup the four facts share is staged: it is a join over the series,
-    and each fact uses it for its clean rows and for its violations.
+    The series joined to their events and the lookup the four facts share are staged: each is read more than once.
     """
+    joined = lake.stage("named_series", silver.named_series(raw["series"], events))
+    series = silver.flagged_series(joined)
+    lookup = lake.stage("series_event_lookup", series.lookup)
+    facts = {t: silver.flagged_match_fact(raw[SILVER[t].source], t, lookup) for t in MATCH_FACTS}
+    return {"fact_series": series.rows, **facts}
+
+
+def run_facts_match(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Match facts; events are read from bronze again, not from their table."""
     require_ansi(spark)
     ensure_database(spark, lake.silver)
     raw = lake.raw(spark, "events", "series", *[SILVER[t].source for t in MATCH_FACTS])
-    series = silver.fact_series(raw["series"], silver.dim_events(raw["events"]).clean)
-    lookup = lake.stage("series_event_lookup", series.lookup)
-    splits = {"fact_series": Split(series.clean, series.violations)}
-    splits.update({t: silver.match_fact(raw[SILVER[t].source], t, lookup) for t in MATCH_FACTS})
-    return _publish(spark, lake, splits)
+    return _publish(spark, lake, _match_tables(lake, raw, silver.dim_events(raw["events"]).clean))
 
 
 def run_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -237,16 +283,11 @@ def run_silver_single_pass(spark: SparkSession, lake: Lake) -> dict[str, int]:
     require_ansi(spark)
     ensure_database(spark, lake.silver)
     raw = lake.raw(spark, *RECORD_TYPES)
-    splits = {
-        t: silver.dimension(raw[SILVER[t].source], t)
-        for t in SILVER
-        if t != "fact_series" and t not in MATCH_FACTS
-    }
-    series = silver.fact_series(raw["series"], splits["dim_events"].clean)
-    splits["fact_series"] = Split(series.clean, series.violations)
-    lookup = lake.stage("series_event_lookup", series.lookup)
-    splits.update({t: silver.match_fact(raw[SILVER[t].source], t, lookup) for t in MATCH_FACTS})
-    return _publish(spark, lake, splits)
+    tables = {t: silver.flagged_dimension(raw[SILVER[t].source], t) for t in (*DIMS, *META_FACTS)}
+    # The events are flagged once, for their own table and for the series.
+    tables["dim_events"] = lake.stage("flagged_events", tables["dim_events"])
+    events = tables["dim_events"].where(~F.col(VIOLATION)).drop(VIOLATION)
+    return _publish(spark, lake, {**tables, **_match_tables(lake, raw, events)})
 
 
 def run_legacy(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -255,27 +296,25 @@ def run_legacy(spark: SparkSession, lake: Lake) -> dict[str, int]:
     ensure_database(spark, lake.silver)
     kinds = ("events", "series", "player_stats")
     if lake.bronze_format == "json":
-        raw = {
-            t: lake.stage(f"legacy/{t}", read_single_objects(spark, raw_path(lake.bronze, t), raw_schema(t)))
-            for t in kinds
-        }
+        found = {t: read_single_objects(spark, raw_path(lake.bronze, t), raw_schema(t)) for t in kinds}
     else:
-        raw = lake.raw(spark, *kinds)
+        found = lake.raw(spark, *kinds)
+    # Each is staged once, which also counts it.
+    staged = {t: lake.stage_counted(f"legacy/{t}", found[t]) for t in kinds}
+    raw = {t: df for t, (df, _) in staged.items()}
+    counts = {f"{t}_read": n for t, (_, n) in staged.items()}
     events = silver.legacy_events(raw["events"])
-    series = silver.legacy_series(raw["series"])
-    stats = silver.legacy_player_stats(raw["player_stats"])
-    wide = silver.legacy_enriched(stats, series, events)
-    counts = {f"{t}_read": raw[t].count() for t in kinds}
-    counts["pk_violations"] = write_violations(spark, wide.violations, lake.bronze, "fact_player_stats", lake.run_ts)
-    written = {
-        "dim_events": events.drop(*ORIGIN),
-        "fact_series": wide.series,
-        "fact_player_stats": wide.clean,
-    }
-    for table, df in written.items():
+    series = lake.stage("legacy/named_series", silver.legacy_with_event(silver.legacy_series(raw["series"]), events))
+    wide = silver.flagged_legacy(silver.legacy_player_stats(raw["player_stats"]), series)
+    own = [c for c in (*ORIGIN, "_event_order") if c in series.columns]
+    for table, df in {"dim_events": events.drop(*ORIGIN), "fact_series": series.drop(*own)}.items():
         name = f"{lake.silver}.{table}"
         counts[f"{table}_written"] = rebuild(spark, name, df, LEGACY_PARTITIONS[table], fmt=lake.table_format)
-    return counts
+    name, split = f"{lake.silver}.fact_player_stats", LEGACY_PARTITIONS["fact_player_stats"]
+    written, violations, bad = publish_flagged(spark, name, wide, split, skip_empty=False, fmt=lake.table_format)
+    if violations is not None:
+        write_violations(spark, violations, lake.bronze, "fact_player_stats", lake.run_ts)
+    return {**counts, "fact_player_stats_written": written, "pk_violations": bad}
 
 
 # ---- gold -------------------------------------------------------------------
@@ -311,7 +350,7 @@ def run_gold_job(spark: SparkSession, lake: Lake, job: str) -> dict[str, int]:
     def write(table: str) -> int:
         spec = GOLD[table]
         name = f"{lake.gold}.{table}"
-        return rebuild(spark, name, built[table], spec.partitions, spec.order, fmt=lake.table_format)
+        return rebuild(spark, name, built[table], spec.partitions, spec.order, fmt=lake.table_format, ties=spec.key)
 
     return side_by_side(write, [t for t, df in built.items() if df is not None])
 

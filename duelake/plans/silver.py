@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelake.functions.casting import lenient_casts, strict_casts
-from duelake.operators.joins import attach, last_context, resolve_event
-from duelake.operators.keys import Split, any_null, keep_last, pk_gate
+from duelake.operators.joins import attach, attach_flagged, last_context, marked_context, resolve_event
+from duelake.operators.keys import VIOLATION, Split, any_null, keep_last, pk_flagged, pk_gate
 from duelake.operators.reshape import flatten_struct
 from duelake.registry import SILVER
 from duelake.sources.landed import ORIGIN
@@ -191,6 +191,41 @@ def fact_map_picks_bans(raw: DataFrame, lookup: DataFrame, order: Sequence[str]
     return match_fact(raw, "fact_map_picks_bans", lookup, order)
 
 
+# ---- the same in one frame, for the jobs ---------------------------------------
+
+
+def flagged_dimension(raw: DataFrame, table: str, order: Sequence[str] = ORIGIN) -> DataFrame:
+    """``dimension`` with clean rows and violations in one frame (``VIOLATION``)."""
+    return pk_flagged(typed(raw, table), SILVER[table].key, order).drop(*order)
+
+
+class FlaggedSeries(NamedTuple):
+    """``lookup`` holds every series row's event with the one that counts marked (``LAST``)."""
+
+    rows: DataFrame
+    lookup: DataFrame
+
+
+def named_series(raw: DataFrame, events: DataFrame, order: Sequence[str] = ORIGIN) -> DataFrame:
+    """Series joined to the events of their name, before the gate."""
+    named = events.select("event_id", "name", "region", event_order(events).alias("_event_order"))
+    return resolve_event(flat_series(raw), named, bring=("region", "_event_order"))
+
+
+def flagged_series(joined: DataFrame, order: Sequence[str] = ORIGIN) -> FlaggedSeries:
+    """``fact_series`` with clean rows and violations in one frame, from ``named_series`` (staged: it is read twice)."""
+    full_order = [*order, "_event_order"]
+    rows = pk_flagged(joined, SILVER["fact_series"].key, full_order).drop(*full_order)
+    context = joined.select("match_id", "event_id", "region", *full_order)
+    return FlaggedSeries(rows, marked_context(context, "match_id", full_order))
+
+
+def flagged_match_fact(raw: DataFrame, table: str, lookup: DataFrame, order: Sequence[str] = ORIGIN) -> DataFrame:
+    """``match_fact`` with clean rows and violations in one frame, through one join."""
+    gated = pk_flagged(typed(raw, table), SILVER[table].key, order).drop(*order)
+    return attach_flagged(gated, lookup)
+
+
 # ---- the older three-table version ------------------------------------------
 
 WIDE_COLUMNS = (
@@ -206,6 +241,21 @@ class WideSplit(NamedTuple):
     series: DataFrame
 
 
+def flagged_legacy(stats: DataFrame, with_event: DataFrame, order: Sequence[str] = ORIGIN) -> DataFrame:
+    """The wide player stats with clean rows and violations in one frame; ``with_event`` is ``legacy_with_event``."""
+    context = ["match_id", "match_date", "team1_name", "team2_name", "event_id", "event_name", "region", "start_date"]
+    series_order = [c for c in order if c in with_event.columns] + ["_event_order"]
+    lookup = marked_context(with_event.select(*context, *series_order), "match_id", series_order)
+    gated = pk_flagged(stats, SILVER["fact_player_stats"].key, order).drop(*order)
+    return attach_flagged(gated, lookup).select(*WIDE_COLUMNS, VIOLATION)
+
+
+def legacy_with_event(series: DataFrame, events: DataFrame) -> DataFrame:
+    """Series with the events of their name; repeated for every event of it."""
+    named = events.select("event_id", "name", "region", "start_date", event_order(events).alias("_event_order"))
+    return resolve_event(series, named, bring=("region", "start_date", "_event_order"))
+
+
 def legacy_events(raw: DataFrame) -> DataFrame:
     """Events cast only: no key gate."""
     return typed(raw, "dim_events")

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duelake.operators.contracts import ERRORS, accepted, rejected
 from duelake.operators.keys import keep_last
+from duelake.commits import (
+    QUARANTINE,
+    attempt_folder,
+    attempts,
+    commit,
+    new_attempt,
+    quarantine_path,
+    raw_path,
+)
 from duelake.sinks.tables import counted
-from duelake.sources.files import delete_path
-from duelake.sources.landed import raw_path
+from duelake.sources.files import delete_path, open_store
 
 
 def stage_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
@@ -38,28 +50,97 @@ def last_accepted(flagged: DataFrame, order: str = "_order") -> DataFrame:
     return keep_last(accepted(flagged), ["record_key"], [order]).drop(order)
 
 
+def write_attempt(records: DataFrame, root: str, record_type: str, run_ts: str, attempt: str) -> None:
+    """One attempt's records of a run; they count once a manifest names the attempt."""
+    records.write.mode("overwrite").parquet(attempt_folder(raw_path(root, record_type), run_ts, attempt))
+
+
 def write_keyed(records: DataFrame, root: str, record_type: str, run_ts: str) -> None:
-    """Add one run of records to a bronze dataset.
+    """Add one run of records to a bronze dataset, or replace that run's.
 
-    The run's own folder is overwritten: a repeated run has to write all of its records
-    again, so it must not skip what that folder holds.  Readers let the newest run win per key.
+    Readers let the newest run win per key.
     """
-    records.write.mode("overwrite").parquet(f"{raw_path(root, record_type)}/run_ts={run_ts}")
+    attempt = new_attempt()
+    write_attempt(records, root, record_type, run_ts, attempt)
+    commit(records.sparkSession, root, run_ts, {record_type: attempt}, keep=True)
 
 
 def write_keyed_json(records: DataFrame, root: str, record_type: str, run_ts: str) -> None:
     """The same run as JSON lines, dates as ISO text."""
-    records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(
+    records.select(as_json(F.struct("*")).alias("value")).write.mode("overwrite").text(
         f"{raw_path(root, record_type)}/run_ts={run_ts}"
     )
 
 
-def write_quarantine(flagged: DataFrame, root: str, record_type: str, run_ts: str, key: str = "quarantine_key") -> None:
-    """The rejected records of one run, each with its payload and errors."""
+def as_json(value: Column) -> Column:
+    return F.to_json(value, {"ignoreNullFields": "false"})
+
+
+def documents_of(records: DataFrame) -> DataFrame:
+    """(``record_key``, ``document``): the JSON object of each record, or the array of a roster's members."""
+    if "members" in records.columns:
+        names = records.schema["members"].dataType.elementType.names
+        body = F.transform("members", lambda m: F.struct(*(m[n].alias(n) for n in names), F.col("ingested_at")))
+    else:
+        body = F.struct(*[F.col(f"`{c}`") for c in records.columns if c != "record_key"])
+    return records.select("record_key", as_json(body).alias("document"))
+
+
+def write_objects(records: DataFrame, root: str, record_type: str) -> int:
+    """One object for each record, ``{type}/raw/{record_key}.json``; an object of that key is replaced.
+
+    Every task writes the objects of its rows, so there has to be one row a key.  A file appears whole: object stores show it
+    when it is complete, elsewhere it is written under a hidden name and moved.  A repeated task writes
+    the same objects again.  Returns the number of objects.
+    """
+    base = raw_path(root, record_type)
+
+    def save(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = open_store(base)
+        written, known = 0, set()
+        for batch in batches:
+            for key, document in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                path = f"{folder}/{key}.json"
+                parent, _, name = path.rpartition("/")
+                if parent not in known:
+                    store.create_dir(parent, recursive=True)
+                    known.add(parent)
+                moved = store.type_name in ("local", "hdfs")
+                target = f"{parent}/.{uuid.uuid4().hex}.tmp" if moved else path
+                with store.open_output_stream(target) as out:
+                    out.write(document.encode())
+                if moved:
+                    store.move(target, path)
+                written += 1
+        yield pa.RecordBatch.from_pydict({"written": pa.array([written], pa.int64())})
+
+    return documents_of(records).mapInArrow(save, "written long").agg(F.sum("written")).first()[0] or 0
+
+
+def write_quarantine(
+    flagged: DataFrame, root: str, record_type: str, run_ts: str, key: str = "quarantine_key", attempt: str | None = None
+) -> None:
+    """The rejected records of one run, each with its payload and errors.
+
+    With an ``attempt`` they count once a manifest names it, else at once.
+    """
     stamped = rejected(flagged, key).withColumn(
         "record_key", F.concat_ws("_", "record_key", F.lit(run_ts))
     )
-    stamped.write.mode("overwrite").json(f"{root.rstrip('/')}/quarantine/{record_type}/run_ts={run_ts}")
+    own = attempt or new_attempt()
+    stamped.write.mode("overwrite").json(attempt_folder(quarantine_path(root, record_type), run_ts, own))
+    if attempt is None:
+        commit(flagged.sparkSession, root, run_ts, {}, {record_type: own}, keep=True)
+
+
+QUARANTINE_SCHEMA = f"record_key string, original_payload string, {ERRORS} array<string>"
+
+
+def read_quarantine(spark: SparkSession, root: str, record_type: str) -> DataFrame:
+    """The rejected records of all committed runs."""
+    base = quarantine_path(root, record_type)
+    paths = [attempt_folder(base, run, a) for run, a in sorted(attempts(spark, root, record_type, QUARANTINE).items())]
+    return spark.read.schema(QUARANTINE_SCHEMA).json(paths) if paths else spark.createDataFrame([], QUARANTINE_SCHEMA)
 
 
 def write_violations(spark: SparkSession, violations: DataFrame, root: str, table: str, run_ts: str) -> int:

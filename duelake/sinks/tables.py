@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from threading import Lock
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from duelake.operators.keys import VIOLATION
 from duelake.registry import GOLD, SILVER
-from duelake.sources.files import delete_path
+from duelake.session import shared_folder
+from duelake.sources.files import delete_path, file_names
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -17,22 +22,45 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def spread_for_write(
-    df: DataFrame, partitions: Sequence[str] = (), order: Sequence[tuple[str, bool]] = ()
-) -> DataFrame:
+def spread_for_write(df: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
     """Bring the rows of a partition value together without one task per value.
 
     The rebalance hint lets adaptive execution split a value that is far larger
     than the others over several tasks, where ``repartition`` would not.
-    Unpartitioned tables keep the partitioning they come with.  An order is
-    applied within the tasks only: a range shuffle would leave no lasting order.
+    Unpartitioned tables keep the partitioning they come with.
     """
-    if partitions:
-        df = df.hint("rebalance", *[F.col(c) for c in partitions])
-    if order:
-        leading = [F.col(c).asc() for c in partitions if c not in {name for name, _ in order}]
-        df = df.sortWithinPartitions(*leading, *ordering(order))
-    return df
+    return df.hint("rebalance", *[F.col(c) for c in partitions]) if partitions else df
+
+
+def in_order(df: DataFrame, partitions: Sequence[str], order: Sequence[tuple[str, bool]], ties: Sequence[str] = ()) -> DataFrame:
+    """Ranges of the order in the order of the tasks, each sorted: file after file the rows come in order.
+
+    Partition values come first, so a table's order is that of the rows of each partition value; a value
+    far larger than the others is cut into ranges like all else.  ``read_in_order`` reads the rows' places.
+    """
+    named = {name for name, _ in order}
+    columns = [F.col(c).asc() for c in partitions if c not in named] + ordering(order)
+    columns += [F.col(c).asc() for c in ties if c not in named and c not in partitions]
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+#: The place of a row among those of its partition value, from 1.
+POSITION = "position"
+
+
+def read_in_order(spark: SparkSession, name: str, partitions: Sequence[str] = ()) -> DataFrame:
+    """A published Parquet table with each row's place, from file numbers and row numbers alone.
+
+    Only the files are numbered one after another; rows add their number within the file.
+    """
+    rows = spark.table(name).select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    number = lambda pattern: F.regexp_extract("__file", pattern, 1).try_cast("int")
+    earlier = Window.partitionBy(*partitions).orderBy(number(r"/part-(\d+)-[^/]*$"), number(r"[-.]c(\d+)[^/]*$"))
+    files = rows.groupBy(*partitions, "__file").agg(F.count(F.lit(1)).alias("__rows"))
+    before = F.coalesce(F.sum("__rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = files.select("__file", before.alias("__before"))
+    place = (F.col("__before") + F.col("__row") + 1).cast("long").alias(POSITION)
+    return rows.join(starts, "__file").select(*spark.table(name).columns, place)
 
 
 def ordering(order: Sequence[tuple[str, bool]]) -> list[F.Column]:
@@ -52,14 +80,77 @@ def _location(spark: SparkSession, table: str) -> str | None:
     return found[0] if found else None
 
 
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def _same_shape(spark: SparkSession, name: str, df: DataFrame, partitions: Sequence[str], fmt: str) -> bool:
+    """Whether a table over files of its own has these columns, partitions and format already."""
+    if not spark.catalog.tableExists(name):
+        return False
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    if described.get("Type") != "EXTERNAL" or (described.get("Provider") or "").lower() != fmt:
+        return False
+    found = {c.name: (c.dataType, c.isPartition) for c in spark.catalog.listColumns(name)}
+    return found == {n: (t, n in partitions) for n, t in _columns(df)}
+
+
 def _point_at(spark: SparkSession, name: str, df: DataFrame, path: str, partitions: Sequence[str], fmt: str) -> None:
-    """Make ``name`` the table over the files at ``path``."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    split = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}{split} LOCATION '{path}'")
-    if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    """Make ``name`` the table over the files at ``path``.
+
+    A table of the same shape gets a new location, all its partitions at one moment: they are not entries of
+    the catalog but folders below the location, which Spark lists in parallel when a query is planned.  Only a table that
+    is new or has changed its columns is created.
+    """
+    if _same_shape(spark, name, df, partitions, fmt):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        columns = ", ".join(f"`{n}` {t}" for n, t in _columns(df))
+        split = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+        with _settings(spark, {"spark.sql.hive.manageFilesourcePartitions": "false"}):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}{split} LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    with _one_at_a_time:  # jobs publish several tables from one session at a time
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
+
+
+_one_at_a_time = Lock()
+
+
+def _versions(spark: SparkSession, name: str) -> str:
+    """Folder of a table's versions: beside, not below, the folder a managed table of this name would own."""
+    database, table = name.split(".")
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}__versions"
+
+
+def _switch(spark: SparkSession, name: str, df: DataFrame, version: str, path: str, partitions: Sequence[str], fmt: str) -> None:
+    """Point the table at a version and remove the versions before the one that it replaces.
+
+    The version it replaces stays until the next switch: queries that were planned on it still read its files.
+    """
+    previous = _location(spark, name) or ""
+    _point_at(spark, name, df, path, partitions, fmt)
+    folder = _versions(spark, name)
+    for old in file_names(spark, folder):
+        if f"{folder}/{old}" != version and f"/{old}" not in previous:
+            delete_path(spark, f"{folder}/{old}")
+    if previous and f"{name.split('.')[1]}__versions/" not in previous:
+        delete_path(spark, previous)  # what a managed table of this name left
 
 
 def publish(
@@ -70,49 +161,105 @@ def publish(
     order: Sequence[tuple[str, bool]] = (),
     skip_empty: bool = True,
     fmt: str = "parquet",
+    ties: Sequence[str] = (),
 ) -> int:
     """Replace table ``database.table`` by ``df`` and return the rows written.
 
     The rows go to a new folder of the database first; the table is pointed at
     it only when the write has succeeded, so a failed run leaves the old table
-    as it was.  An empty result does too when ``skip_empty`` is set.  The new
-    table's files may be read by the plan of ``df``, so the old folder is
-    removed last.
+    as it was.  An empty result does too when ``skip_empty`` is set.
 
-    A name with a catalog part goes to that catalog's own atomic replace.
+    With an ``order`` the files hold the rows in that order, equal ones by ``ties``.
+
+    A name with a catalog part goes to that catalog's own atomic replace, from rows that were staged, so that the
+    plan runs once.
     """
-    rows, seen = counted(spread_for_write(df, partitions, order))
+    rows, seen = counted(in_order(df, partitions, order, ties) if order else spread_for_write(df, partitions))
     if name.count(".") > 1:
-        if skip_empty and df.isEmpty():
-            return 0
-        writer = rows.writeTo(name)
-        if partitions:
-            writer = writer.partitionedBy(*[F.col(c) for c in partitions])
-        writer.createOrReplace()
-        return seen.get["rows"]
+        staged = f"{shared_folder(spark, 'publish')}"
+        rows.write.parquet(staged)
+        written = seen.get["rows"]
+        if written or not skip_empty:
+            _replace_in_catalog(spark, name, spark.read.schema(df.schema).parquet(staged), partitions)
+        delete_path(spark, staged)
+        return written
 
-    database, table = name.split(".")
-    # Beside, not below, the folder a managed table of this name would own.
-    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
-    path = f"{root}/{table}__versions/{uuid.uuid4().hex}"
-    writer = rows.write.format(fmt)
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.save(path)
+    version = f"{_versions(spark, name)}/{uuid.uuid4().hex}"
+    _writer(rows, fmt, partitions).save(version)
     written = seen.get["rows"]
     if written == 0 and skip_empty:
-        delete_path(spark, path)
+        delete_path(spark, version)
         return 0
-    previous = _location(spark, name)
-    _point_at(spark, name, df, path, partitions, fmt)
-    if previous and previous != path:
-        delete_path(spark, previous)
+    _switch(spark, name, df, version, version, partitions, fmt)
     return written
 
 
-def rebuild(spark: SparkSession, name: str, df: DataFrame, partitions: Sequence[str] = (), order=(), fmt: str = "parquet") -> int:
+def _writer(rows: DataFrame, fmt: str, partitions: Sequence[str]):
+    writer = rows.write.format(fmt)
+    return writer.partitionBy(*partitions) if partitions else writer
+
+
+def _replace_in_catalog(spark: SparkSession, name: str, rows: DataFrame, partitions: Sequence[str]) -> None:
+    writer = rows.writeTo(name)
+    if partitions:
+        writer = writer.partitionedBy(*[F.col(c) for c in partitions])
+    writer.createOrReplace()
+
+
+def publish_flagged(
+    spark: SparkSession,
+    name: str,
+    flagged: DataFrame,
+    partitions: Sequence[str] = (),
+    skip_empty: bool = True,
+    fmt: str = "parquet",
+) -> tuple[int, DataFrame | None, int]:
+    """Replace a table by the clean rows of a flagged frame: (rows written, violations, number of violations).
+
+    One write deals the rows out by outcome and partition; the table is pointed at the folder of the clean
+    ones.  Violations are read back from theirs, with the values of the partition columns as they were (a folder's
+    name cannot tell a null from an empty text); they last as long as this version of the table.
+    """
+    plain = flagged.drop(VIOLATION)
+    kept = {f"__{c}": F.when(F.col(VIOLATION), F.col(c)) for c in partitions}
+    seen = Observation()
+    broken = F.col(VIOLATION)
+    rows = spread_for_write(flagged.withColumns(kept), [VIOLATION, *partitions]).observe(
+        seen, F.count_if(~broken).alias("clean"), F.count_if(broken).alias("broken")
+    )
+    local = name.count(".") == 1
+    version = f"{_versions(spark, name)}/{uuid.uuid4().hex}" if local else shared_folder(spark, "publish")
+    _writer(rows, fmt, [VIOLATION, *partitions]).save(version)
+    clean, bad = seen.get["clean"], seen.get["broken"]
+
+    def read(outcome: str, extra: Sequence[str]) -> DataFrame:
+        schema = T.StructType([*plain.schema.fields, *(T.StructField(f"__{c}", plain.schema[c].dataType) for c in extra)])
+        return spark.read.schema(schema).format(fmt).load(f"{version}/{VIOLATION}={outcome}")
+
+    violations = None
+    if bad:
+        violations = read("true", partitions).withColumns({c: F.col(f"__{c}") for c in partitions}).select(plain.columns)
+    if clean or not skip_empty:
+        if not clean:  # nobody wrote the folder of the clean rows
+            _writer(plain.limit(0), fmt, partitions).save(f"{version}/{VIOLATION}=false")
+        if local:
+            _switch(spark, name, plain, version, f"{version}/{VIOLATION}=false", partitions, fmt)
+        else:
+            _replace_in_catalog(spark, name, read("false", ()), partitions)
+    return clean, violations, bad
+
+
+def rebuild(
+    spark: SparkSession,
+    name: str,
+    df: DataFrame,
+    partitions: Sequence[str] = (),
+    order: Sequence[tuple[str, bool]] = (),
+    fmt: str = "parquet",
+    ties: Sequence[str] = (),
+) -> int:
     """Publish even when empty: the old table never outlives a run."""
-    return publish(spark, name, df, partitions, order, skip_empty=False, fmt=fmt)
+    return publish(spark, name, df, partitions, order, skip_empty=False, fmt=fmt, ties=ties)
 
 
 def drop(spark: SparkSession, name: str) -> bool:
@@ -121,6 +268,7 @@ def drop(spark: SparkSession, name: str) -> bool:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if where:
         delete_path(spark, where)
+        delete_path(spark, _versions(spark, name))
     return where is not None
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -15,14 +17,39 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def run_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the committed ``run_ts=`` folders of a dataset; none when it does not exist.
-
-    A folder without the marker that a finished write leaves holds what a failed run left behind.
-    """
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none when it does not exist.  Hidden ones are left out."""
     fs, where = _filesystem(spark, path)
     if not fs.exists(where):
         return []
-    folders = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("run_ts=")]
-    marker = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(f.getName() for f in folders if fs.exists(marker(f, "_SUCCESS")))
+    names = (s.getPath().getName() for s in fs.listStatus(where))
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _filesystem(spark, path)
+    source = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all, and never in place of another."""
+    fs, where = _filesystem(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f".{where.getName()}.{uuid.uuid4().hex}")
+    fs.mkdirs(where.getParent())
+    out = fs.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(where) or not fs.rename(hidden, where):
+        fs.delete(hidden, False)
+        raise FileExistsError(f"{path} was written by another run meanwhile")
+
+
+def open_store(uri: str):
+    """(pyarrow file system, path) of a URI, for tasks that write files of their own."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1) if "://" in uri or uri.startswith("file:") else f"file://{uri}")

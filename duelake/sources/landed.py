@@ -7,16 +7,17 @@ records of a type, which is what "last" means downstream.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from duelake.operators.contracts import ERRORS, valid_members, validate
 from duelake.operators.keys import keep_last
-from duelake.record_types import RECORD_TYPES, raw_schema
-from duelake.sources.files import run_folders
+from duelake.record_types import CONTRACTS, RECORD_TYPES, raw_schema
+from duelake.commits import Snapshot, attempt_folder, attempts, commit_snapshot, new_attempt, raw_path, snapshot
 
 KEY, POS = "_key", "_pos"
 ORIGIN = (KEY, POS)
@@ -102,27 +103,89 @@ def discover_schema(spark: SparkSession, prefix: str) -> T.StructType:
     return spark.read.option("recursiveFileLookup", "true").json(prefix, multiLine=True, samplingRatio=1.0).schema
 
 
-def raw_path(root: str, record_type: str) -> str:
-    return f"{root.rstrip('/')}/{record_type}/raw"
-
-
 def read_landed(spark: SparkSession, root: str, types: Sequence[str] = RECORD_TYPES) -> dict[str, DataFrame]:
     """Lazy raw frames by record type from ``{root}/{type}/raw/{key}.json``."""
     return {t: read_documents(spark, raw_path(root, t), raw_schema(t)) for t in types}
 
 
+def object_keys(spark: SparkSession, root: str, record_type: str) -> DataFrame | None:
+    """(``record_key``) of the objects ``{type}/raw/{record_key}.json``, from their names alone; None if there are none."""
+    prefix = raw_path(root, record_type)
+    try:
+        names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix).select("path")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    inside = f"/{record_type}/raw/"
+    key = F.regexp_replace(F.substring_index(decoded_key("path"), inside, -1), r"\.json$", "")
+    return names.select(key.alias("record_key"))
+
+
+def _runs(spark: SparkSession, path: str, runs: Mapping[str, str]) -> DataFrame:
+    # Stamps are digits and a T, and stay text as Spark infers them.
+    folders = [attempt_folder(path, run, attempt) for run, attempt in sorted(runs.items())]
+    return spark.read.option("basePath", path).parquet(*folders).drop("attempt")
+
+
+def read_runs(spark: SparkSession, root: str, record_type: str, without_run: str | None = None) -> DataFrame | None:
+    """The newest record of every key with its ``run_ts``; None if no run has been committed.
+
+    Where a snapshot covers the older runs only the runs since are compared: its rows are read as they are, but for
+    the keys that a newer run holds.
+    """
+    runs = {run: a for run, a in attempts(spark, root, record_type).items() if run != without_run}
+    if not runs:
+        return None
+    path = raw_path(root, record_type)
+    held = snapshot(spark, root, record_type)
+    if held is None or not held.serves(runs):
+        return keep_last(_runs(spark, path, runs), ["record_key"], ["run_ts"])
+    older = spark.read.parquet(held.path)
+    since = {run: a for run, a in runs.items() if run not in held.runs}
+    if not since:
+        return older
+    newer = keep_last(_runs(spark, path, since), ["record_key"], ["run_ts"])
+    kept = older.join(newer.select("record_key"), "record_key", "left_anti")
+    return kept.unionByName(newer, allowMissingColumns=True)
+
+
 def read_keyed(spark: SparkSession, root: str, record_type: str, without_run: str | None = None) -> DataFrame | None:
     """Records of a bronze dataset, the newest run winning per key; None if no run has been committed.
 
     Runs are appended side by side.  ``without_run`` leaves one out, as a repeated run has to do with its own.
     """
-    path = raw_path(root, record_type)
-    runs = [run for run in run_folders(spark, path) if run != f"run_ts={without_run}"]
+    records = read_runs(spark, root, record_type, without_run)
+    return None if records is None else records.drop("run_ts")
+
+
+def compact_runs(spark: SparkSession, root: str, record_type: str) -> Snapshot | None:
+    """Write the newest record of every key as a snapshot of all runs committed by now; None if there is none."""
+    runs = attempts(spark, root, record_type)
     if not runs:
         return None
-    # Stamps are digits and a T, and stay text as Spark infers them.
-    records = spark.read.option("basePath", path).parquet(*(f"{path}/{run}" for run in runs))
-    return keep_last(records, ["record_key"], ["run_ts"]).drop("run_ts")
+    made = Snapshot(f"{root.rstrip('/')}/{record_type}/snapshot/{new_attempt()}", runs)
+    read_runs(spark, root, record_type).write.parquet(made.path)
+    commit_snapshot(spark, root, record_type, made)
+    return made
+
+
+def lake_objects(spark: SparkSession, root: str, record_type: str) -> DataFrame:
+    """The JSON objects of a type as records of a bronze dataset: one row a key, a roster's members as an array."""
+    documents = read_documents(spark, raw_path(root, record_type), raw_schema(record_type))
+    key = F.regexp_replace(F.substring_index(KEY, f"/{record_type}/raw/", -1), r"\.json$", "").alias("record_key")
+    stamp = F.col("ingested_at").cast("timestamp").alias("ingested_at")
+    contract = CONTRACTS[record_type]
+    if record_type != "team_roster":
+        flagged = validate(documents.select(*contract.columns, key, stamp), contract, carry=("record_key", "ingested_at"))
+        problem = F.raise_error(F.concat_ws("; ", F.lit(f"a {record_type} object that is no valid record"), ERRORS)).cast("string")
+        checked = F.when(F.size(ERRORS) == 0, F.col("record_key")).otherwise(problem)
+        return flagged.withColumn("record_key", checked).drop(ERRORS, "original_payload")
+    members = F.array_agg(F.struct(POS, F.struct(*contract.columns).alias("m")))
+    gathered = documents.groupBy(key).agg(F.sort_array(members).alias("all"), F.max(stamp).alias("ingested_at"))
+    listed = gathered.select("record_key", "ingested_at", F.transform("all", lambda x: x["m"]).alias("members"))
+    typed = valid_members(F.col("members"), listed.schema["members"].dataType, contract, {})
+    return listed.withColumn("members", typed)
 
 
 def keyed_as_raw(spark: SparkSession, root: str, record_type: str) -> DataFrame:

@@ -4,12 +4,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from duelake import commits
+from duelake.operators.keys import VIOLATION, pk_flagged, pk_gate
 from duelake.plans import bronze, jobs
 from duelake.plans.bronze import Landing
 from duelake.registry import GOLD, SILVER
-from duelake.sinks.records import last_accepted
-from duelake.sinks.tables import ensure_database, publish, reset, spread_for_write
-from duelake.sources.landed import read_keyed
+from duelake.sinks.records import last_accepted, write_keyed
+from duelake.sinks.tables import ensure_database, publish, publish_flagged, read_in_order, reset, spread_for_write
+from duelake.sources.files import write_new
+from duelake.sources.landed import compact_runs, read_keyed
 from conftest import rows
 
 ACTION = "array<struct<team:string,map:string>>"
@@ -310,3 +313,195 @@ def test_runs_that_failed_half_way_and_runs_that_are_repeated(spark, tmp_path):
     again = jobs.ingest(spark, landing(spark), made)
     assert again["series_valid"] == first["series_valid"]
     assert kept == {t: sorted(r[0] for r in read_keyed(spark, made.bronze, t).select("record_key").collect()) for t in kept}
+
+
+def run_keys(spark, root):
+    types = ("events", "series", "map_picks_bans", "player_stats", "map_scores", "round_results", "event_standings", "team_info",
+             "team_roster", "team_placements", "team_transactions", "player_profiles", "player_agent_stats")
+    found = {t: read_keyed(spark, root, t) for t in types}
+    return {t: sorted(r[0] for r in df.select("record_key").collect()) for t, df in found.items() if df is not None}
+
+
+def test_a_repeat_that_fails_leaves_the_committed_run(spark, tmp_path):
+    from dataclasses import replace
+
+    made = jobs.Lake(str(tmp_path), run_ts="20250401T000000")
+    good = landing(spark)
+    jobs.run_backfill(spark, good, made)
+    before = run_keys(spark, made.bronze)
+    assert len(before) == 13 and len(before["player_stats"]) == 3
+    broken = replace(good, profiles=good.profiles.withColumn("handle", F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        jobs.ingest(spark, broken, made)
+    assert run_keys(spark, made.bronze) == before
+    later = replace(made, run_ts="20250402T000000")
+    assert jobs.run_backfill(spark, good, later) == {}
+    jobs.ingest(spark, good, later)
+    assert run_keys(spark, made.bronze) == before
+    # what the failed attempt left is no part of the state and can be removed
+    assert commits.sweep(spark, made.bronze, list(before)) > 0
+    assert run_keys(spark, made.bronze) == before and commits.sweep(spark, made.bronze, list(before)) == 0
+
+
+def test_a_repeat_takes_the_place_of_its_run_at_once(spark, tmp_path):
+    root = str(tmp_path)
+    for kind in ("a", "b"):
+        write_keyed(spark.createDataFrame([("1", 1)], "record_key string, v int"), root, kind, "r1")
+    assert set(commits.attempts(spark, root, "a")) == {"r1"}
+    commits.commit(spark, root, "r1", {"a": commits.new_attempt()})
+    # the new manifest names the types of the repeat only
+    assert commits.attempts(spark, root, "b") == {} and len(commits.committed(spark, root)) == 1
+    folder = tmp_path / "commits" / "run_ts=r1"
+    names = sorted(p.name for p in folder.iterdir() if p.suffix == ".json")
+    with pytest.raises(FileExistsError):
+        write_new(spark, f"{folder}/{names[-1]}", "{}")
+    assert sorted(p.name for p in folder.iterdir() if p.suffix == ".json") == names
+    assert [p for p in folder.iterdir() if ".json." in p.name and not p.name.endswith(".crc")] == []
+
+
+def test_snapshots_serve_the_runs_since(spark, tmp_path):
+    root = str(tmp_path)
+    record = lambda *rows: spark.createDataFrame(list(rows), "record_key string, v int")
+    read = lambda **more: rows(read_keyed(spark, root, "t", **more), "record_key")
+    assert compact_runs(spark, root, "t") is None
+    write_keyed(record(("a", 1), ("b", 1)), root, "t", "r1")
+    write_keyed(record(("b", 2), ("c", 2)), root, "t", "r2")
+    assert compact_runs(spark, root, "t").runs.keys() == {"r1", "r2"}
+    assert read() == [("a", 1), ("b", 2), ("c", 2)]
+    write_keyed(record(("a", 3), ("d", 3)), root, "t", "r3")
+    plan = read_keyed(spark, root, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "snapshot" in read_keyed(spark, root, "t").inputFiles()[0] + " ".join(read_keyed(spark, root, "t").inputFiles()) and "LeftAnti" in plan
+    assert read() == [("a", 3), ("b", 2), ("c", 2), ("d", 3)]
+    assert read(without_run="r3") == [("a", 1), ("b", 2), ("c", 2)]
+    # a run of the snapshot that is left out or was repeated, and a run older than it: all runs are compared again
+    assert read(without_run="r2") == [("a", 3), ("b", 1), ("d", 3)]
+    write_keyed(record(("b", 9)), root, "t", "r2")
+    assert read() == [("a", 3), ("b", 9), ("d", 3)]
+    compact_runs(spark, root, "t")
+    write_keyed(record(("a", 0), ("z", 0)), root, "t", "r0")
+    assert read() == [("a", 3), ("b", 9), ("d", 3), ("z", 0)]
+
+
+def test_json_lake_holds_what_the_keyed_lake_holds(spark, lake, tmp_path):
+    objects = jobs.Lake(str(tmp_path), "t_objects", "t_objects_gold", bronze_format="json", run_ts="20250401T000000")
+    counts = jobs.run_backfill(spark, landing(spark), objects)
+    assert counts == lake[1]
+    assert json.loads((tmp_path / "bronze" / "team_roster" / "raw" / "1.json").read_text())[0]["ign"] == "p1"
+    assert json.loads((tmp_path / "bronze" / "series" / "raw" / "100.json").read_text())["match_date"] == "2025-03-01"
+    assert jobs.run_backfill(spark, landing(spark), objects) == {}
+    keyed = jobs.Lake(str(tmp_path / "keyed"), "t_merged", "x", run_ts="20250401T000000")
+    jobs.keyed_from_objects(spark, objects, keyed)
+    assert run_keys(spark, keyed.bronze) == run_keys(spark, lake[0].bronze)
+    from dataclasses import replace
+
+    plain = replace(lake[0], silver="t_plain")
+    want = jobs.run_silver(spark, plain)
+    for other in (objects, keyed):
+        assert jobs.run_silver(spark, other) == want
+        assert tables(spark, other.silver, SILVER) == tables(spark, "t_plain", SILVER)
+
+
+def test_each_source_is_evaluated_once_for_a_table_and_its_violations(spark, lake, monkeypatch):
+    """Rows pass a counter on their way from bronze: every job reads each source once (series: staged)."""
+    from dataclasses import replace
+
+    made = replace(lake[0], silver="t_once")
+    seen = {t: spark.sparkContext.accumulator(0) for t in jobs.RECORD_TYPES}
+    plain = jobs.Lake.raw
+
+    def counting(self, session, *types):
+        def watched(record_type, df):
+            counter = seen[record_type]
+
+            def run(batches):
+                for batch in batches:
+                    counter.add(batch.num_rows)
+                    yield batch
+
+            return df.mapInArrow(run, df.schema)
+
+        return {t: watched(t, df) for t, df in plain(self, session, *types).items()}
+
+    monkeypatch.setattr(jobs.Lake, "raw", counting)
+    sizes = {t: df.count() for t, df in plain(made, spark, *jobs.RECORD_TYPES).items()}
+    jobs.run_silver_single_pass(spark, made)
+    assert {t: c.value for t, c in seen.items()} == sizes
+    jobs.run_dims(spark, made)
+    assert all(seen[SILVER[t].source].value == 2 * sizes[SILVER[t].source] for t in jobs.DIMS)
+
+
+def test_flagged_frames_equal_the_two_sides(spark):
+    df = spark.createDataFrame([(1, "a", 1, "x"), (1, "a", 2, "y"), (None, "a", 1, "z"), (None, "a", 1, "z"), (2, None, 5, "")], "k int, l string, o int, v string")
+    split, flagged = pk_gate(df, ["k", "l"], ["o"]), pk_flagged(df, ["k", "l"], ["o"])
+    assert rows(flagged.where(~F.col(VIOLATION)).drop(VIOLATION)) == rows(split.clean)
+    assert sorted(map(str, rows(flagged.where(VIOLATION).drop(VIOLATION)))) == sorted(map(str, rows(split.violations)))
+    ensure_database(spark, "t_flag")
+    written, violations, bad = publish_flagged(spark, "t_flag.t", flagged, ["l"])
+    assert (written, bad) == (1, 3) and rows(spark.table("t_flag.t").select("k", "l", "o", "v")) == [(1, "a", 2, "y")]
+    assert sorted(map(str, rows(violations))) == sorted(map(str, rows(split.violations)))
+    assert publish_flagged(spark, "t_flag.t", flagged.where(VIOLATION), ["l"])[0] == 0 and spark.table("t_flag.t").count() == 1
+    assert publish_flagged(spark, "t_flag.t", flagged.where(VIOLATION), ["l"], skip_empty=False)[0] == 0 and spark.table("t_flag.t").count() == 0
+
+
+def test_a_reader_never_misses_a_table_that_is_replaced(spark):
+    from threading import Event, Thread
+    from time import sleep
+
+    ensure_database(spark, "t_swap")
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("part"))
+    publish(spark, "t_swap.t", df, ["part"])
+    stop, found = Event(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                found.append(spark.table("t_swap.t").count())
+            except Exception as problem:
+                found.append(str(problem)[:200])
+
+    reader = Thread(target=read)
+    reader.start()
+    for _ in range(5):
+        # a version stays until the switch after the next, so a read may begin before one switch and end after it
+        seen = len(found)
+        while len(found) < seen + 2:
+            sleep(0.01)
+        publish(spark, "t_swap.t", df, ["part"])
+    stop.set()
+    reader.join()
+    assert set(found) == {300} and len(found) >= 10
+    # other columns: created anew
+    publish(spark, "t_swap.t", df.withColumn("more", F.lit(1)), ["part"])
+    assert spark.table("t_swap.t").where("part = 1 and more = 1").count() == 100
+
+
+def test_published_order_can_be_read_back(spark):
+    ensure_database(spark, "t_order")
+    df = spark.range(0, 5000, 1, 7).select("id", (F.col("id") % 4).alias("part"), F.when(F.col("id") % 11 != 0, F.col("id") % 90).alias("score"))
+    for split in ([], ["part"]):
+        publish(spark, "t_order.t", df, split, [("score", True)], ties=["id"])
+        out = read_in_order(spark, "t_order.t", split).collect()
+        groups = {}
+        for r in sorted(out, key=lambda r: r.position):
+            groups.setdefault(r.part if split else 0, []).append((r.position, r.id, r.score))
+        for got in groups.values():
+            want = sorted(got, key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))
+            assert got == want and [p for p, _, _ in got] == list(range(1, len(got) + 1))
+
+
+def test_catalogue_publish_runs_the_plan_once(spark, monkeypatch):
+    """Of a name with a catalog part the rows are staged, counted and handed to the catalog's replace."""
+    from duelake.sinks import tables as sink
+
+    handed = []
+    monkeypatch.setattr(sink, "_replace_in_catalog", lambda session, name, df, parts: handed.append((name, df.count(), tuple(parts))))
+    calls = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(10).mapInArrow(run, "id long")
+    assert publish(spark, "cat.db.t", df, ["id"]) == 10 and publish(spark, "cat.db.t", df.where("id > 99")) == 0
+    assert handed == [("cat.db.t", 10, ("id",))] and calls.value == 20

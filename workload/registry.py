@@ -11,6 +11,14 @@ from workload.shapes import Shapes, with_shapes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The SQL of each query before its parts were put in: (statement, named parts).
+PARTS: dict[str, tuple[str, dict[str, str]]] = {}
+
+
+def statement(name: str, **other: str) -> str:
+    """A query's SQL with other named parts in place of its own."""
+    oracle, selects = PARTS[name]
+    return with_shapes(oracle, **{**selects, **other})
 
 
 def query(name: str, oracle: str | None = None, lists: tuple[str, ...] = (), **selects: str):
@@ -27,6 +35,7 @@ def query(name: str, oracle: str | None = None, lists: tuple[str, ...] = (), **s
 
         QUERIES[name] = run
         if oracle is not None:
+            PARTS[name] = (oracle, selects)
             sql = with_shapes(oracle, **selects)
             if lists:
                 joined = ", ".join(f"array_to_string({c}, '|') AS {c}" for c in lists)
@@ -57,9 +66,10 @@ def mean(value: str, digits: int) -> str:
 
 
 def ratio(part: str, whole: str) -> str:
-    """Ratio of whole non-negative sums to three places, in exact integers."""
-    p, w = f"CAST({part} AS BIGINT)", f"CAST({whole} AS BIGINT)"
-    return f"CASE WHEN {whole} IS NULL OR {whole} = 0 THEN NULL ELSE CAST((2000 * {p} + {w}) // (2 * {w}) AS DOUBLE) / 1000 END"
+    """Ratio of whole sums to three places, halves away from zero, in exact integers."""
+    p, w = f"ABS(CAST({part} AS BIGINT))", f"ABS(CAST({whole} AS BIGINT))"
+    size = f"CAST((2000 * {p} + {w}) // (2 * {w}) AS DOUBLE) / 1000"
+    return f"CASE WHEN {whole} IS NULL OR {whole} = 0 THEN NULL ELSE SIGN({part}) * SIGN({whole}) * {size} END"
 
 
 def total(value: str) -> str:
