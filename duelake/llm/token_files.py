@@ -44,8 +44,12 @@ CHECKSUMS = 0x80
 FRAME_BYTES = 1 << 20
 #: Texts encoded together.
 BLOCK_BYTES = 4 << 20
-#: Chunks kept encoded in a worker; beyond it the store starts anew.
-KEPT_CHUNKS = 600_000
+#: Bytes of encoded words, and of chunks put together from them, that a task keeps; beyond it a store starts anew.
+KEPT_WORDS, KEPT_CHUNKS = 80 << 20, 64 << 20
+#: Bytes of an entry besides its text: a string and a bytes object with their headers, the place in the table.
+ENTRY = 200
+#: Words that go to the tokenizer as one text.
+JOINED = 4_000
 
 
 class TokenFileWriter:
@@ -146,51 +150,90 @@ class TokenFileReader:
 
 
 class WordEncoder:
-    """Texts to ids with a tokenizer that drops white space and never looks across it.
+    """Texts to ids with a tokenizer that drops white space, never looks across it and marks the ends of words.
 
     Chunks between spaces are put together from letters and closing marks, which the tokenizer always
-    encodes apart; each of these is encoded once and remembered.  A text that is not in composed Unicode form
-    goes to the tokenizer whole.
+    encodes apart; each of these is encoded once and remembered, up to a number of bytes.  Many go to the tokenizer as one
+    text and are told apart by their end tokens.  A text that is not in composed Unicode form or that may hold one of
+    the tokenizer's special tokens goes to the tokenizer whole.
     """
 
     #: Marks that no rule of the split pattern joins to letters.
     CLOSING = ".,;:!?%&*#$|)"
 
     def __init__(self, path: str):
+        import os
+        from os.path import commonprefix
+
+        # Threads of the tokenizer's own would compete with the other tasks of the executor.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        head = commonprefix(special)
+        self.special = [head] if head else special
+        self.wide = len(vocabulary) > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.chunk_bytes = self.word_bytes = 0
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         kind = "I" if self.wide else "H"
         return [array(kind, e.ids).tobytes() for e in found]
 
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Words that should be one word to the tokenizer; if the ends do not count up, each is encoded by itself."""
+        out: list[bytes] = []
+        for start in range(0, len(words), JOINED):
+            part = words[start : start + JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int64)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part) or (len(stops) and stops[-1] != len(ids)):
+                out += self._packed(part)
+                continue
+            raw, size = ids.astype(self.dtype).tobytes(), int(self.dtype[-1])
+            stops = (stops * size).tolist()
+            out += [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        return out
+
     def _learn(self, chunks: set[str]) -> None:
         """Encode chunks by way of the distinct words in them."""
-        cut: list[tuple[str, str, str]] = []
+        plain: list[tuple[str, str, str]] = []
+        odd: list[str] = []
+        closing = self.CLOSING
         for chunk in chunks:
-            body = chunk.rstrip(self.CLOSING)
+            body = chunk.rstrip(closing)
             if body.isalpha():
-                cut.append((chunk, body.lower() if body.isascii() else body, chunk[len(body) :]))
+                plain.append((chunk, body.lower() if body.isascii() else body, chunk[len(body) :]))
             else:
-                cut.append((chunk, chunk, ""))
+                odd.append(chunk)
         words = self.words
-        fresh = list({w for _, body, marks in cut for w in (body, marks)}.difference(words))
-        words.update(zip(fresh, self._packed(fresh), strict=True))
-        self.chunks.update((chunk, words[body] + words[marks]) for chunk, body, marks in cut)
+        letters = list({body for _, body, _ in plain}.difference(words))
+        words.update(zip(letters, self._joined(letters), strict=True))
+        marks = list({mark for _, _, mark in plain}.difference(words))
+        words.update(zip(marks, self._packed(marks), strict=True))
+        self.chunks.update([(chunk, words[body] + words[mark]) for chunk, body, mark in plain])
+        self.chunks.update(zip(odd, self._packed(odd), strict=True))
+        self.word_bytes += ENTRY * len(letters) + sum(map(len, letters))
+        self.chunk_bytes += ENTRY * len(chunks) + sum(map(len, chunks))
 
     def block(self, texts: list[str]) -> list[np.ndarray]:
         from unicodedata import is_normalized
 
-        if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks, self.words = {}, {}
-        plain = [is_normalized("NFC", text) for text in texts]
+        if self.word_bytes > KEPT_WORDS:
+            self.words, self.word_bytes = {}, 0
+        if self.chunk_bytes > KEPT_CHUNKS:
+            self.chunks, self.chunk_bytes = {}, 0
+        plain = [not any(s in text for s in self.special) and is_normalized("NFC", text) for text in texts]
         split = [text.replace("\n", " ").split(" ") if ok else [] for text, ok in zip(texts, plain, strict=True)]
         self._learn(set().union(*split).difference(self.chunks))
         whole = iter(self._packed([text for text, ok in zip(texts, plain, strict=True) if not ok]))
@@ -254,6 +297,7 @@ def write(
             if writer is not None:
                 writer.close()
         finally:
+            encoder.forget()
             if out is not None:
                 out.close()
         if writer is not None:

@@ -92,7 +92,6 @@ def test_token_files_round_trip_and_partial_reads(spark, docs, empty, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     folder = str(tmp_path / "files")
     files = token_files.write(docs, folder, WORDS, end_id=1, shards=3)
     out = by_id(token_files.read(files, folder))
@@ -107,6 +106,25 @@ def test_token_files_round_trip_and_partial_reads(spark, docs, empty, tmp_path):
     assert token_files.read(token_files.write(empty, none, WORDS, 1, shards=2), none).count() == 0
 
 
+def test_word_encoder_equals_the_plain_library():
+    """Also with special tokens, letters that change their number in lower case, unknown letters and other forms."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    numbers = random.Random(3)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "İstanbul", "ß", "ﬁ", "e\u0301", "日本", "don't", "x2y", "A.", "b,", "(c)", "\u200b", "ǅ", "ſ", "ʼn", "𐐀", "١٢", "naïve", "..", "\t", "\x1f", "a" * 300]
+    texts = ["".join(numbers.choice(parts) + numbers.choice(["", " ", "  ", "\n"]) for _ in range(numbers.randint(0, 12))) for _ in range(3_000)]
+    library = Tokenizer.from_file(WORDS)
+    encoder = token_files.WordEncoder(WORDS)
+    for start in range(0, len(texts), 500):
+        part = texts[start : start + 500]
+        for text, ids in zip(part, encoder.block(part), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+    encoder.forget()
+    assert not encoder.chunks and not encoder.words
+
+
 def test_token_file_reader_finds_damage(tmp_path):
     from pyarrow import fs
 
