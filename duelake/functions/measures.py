@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def rounded(value: Column, digits: int) -> Column:
+    return F.round(value, digits)
+
+
 def rounded_mean(value: Column, digits: int) -> Column:
     """Mean over the non-null values, rounded half up."""
-    return F.round(F.avg(value), digits)
+    return rounded(F.avg(value), digits)
 
 
 def safe_ratio(part: Column, whole: Column, digits: int = 3) -> Column:

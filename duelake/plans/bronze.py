@@ -85,8 +85,36 @@ def scoped_events(events: DataFrame, scope: Scope = Scope()) -> DataFrame:
     return before_cutoff(events, condition, scope.first_year).where(condition)
 
 
+#: Marks the events in scope among those that were read.
+IN_SCOPE = "_in_scope"
+
+
+def seen_events(events: DataFrame, scope: Scope = Scope()) -> DataFrame:
+    """Events on pages up to the stale one, those in scope marked; a job stages it and takes all else from it."""
+    condition = scope.condition()
+    return before_cutoff(events, condition, scope.first_year, keep_stop=True).withColumn(IN_SCOPE, F.coalesce(condition, F.lit(False)))
+
+
+def in_scope(seen: DataFrame) -> DataFrame:
+    """``scoped_events`` from ``seen_events``: a stale page holds no event in scope."""
+    return seen.where(IN_SCOPE).drop(IN_SCOPE)
+
+
+def count_seen(seen: DataFrame) -> DataFrame:
+    """``event_counts`` from ``seen_events``."""
+    return seen.agg(
+        F.count(F.lit(1)).alias("events_total"),
+        F.count_if(IN_SCOPE).alias("events_in_scope"),
+        F.count_if(~F.col(IN_SCOPE)).alias("events_skipped"),
+    )
+
+
 def event_attempts(events: DataFrame, scope: Scope = Scope()) -> DataFrame:
-    df = scoped_events(events, scope).withColumnRenamed("id", "event_id")
+    return scoped_event_attempts(scoped_events(events, scope))
+
+
+def scoped_event_attempts(scoped: DataFrame) -> DataFrame:
+    df = scoped.withColumnRenamed("id", "event_id")
     typed_id = whole_number(F.col("event_id"), df.schema["event_id"].dataType)
     return flag(df, "events", record_key(F.coalesce(typed_id.cast("string"), F.col("event_id").cast("string"))), "page")
 

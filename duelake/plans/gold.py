@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from duelake.fixed_values import DRAW_LABEL
 from duelake.functions.measures import count_false, count_true, rounded_mean, rows, safe_ratio, true_share
 from duelake.functions.sides import decide_winner, pick_side, won_flag
+from duelake.operators.distincts import group_with_distincts
 from duelake.operators.reshape import explode_values, unpivot_sides
 from duelake.registry import GOLD
 from duelake.sinks.tables import ordering
@@ -49,27 +50,34 @@ def _named(groups: DataFrame, dimension: DataFrame, key: str, name: str, totals:
 
 def player_performance(stats: DataFrame, events: DataFrame, ordered: bool = True) -> DataFrame:
     """Player totals and means per event."""
-    per_event = (
-        stats.where(F.col("event_id").isNotNull() & F.col("player_id").isNotNull())
-        .groupBy("event_id", "region", "player_id", "player_name", "team_id", "team_short")
-        .agg(
-            F.countDistinct("match_id").alias("matches_played"),
-            F.countDistinct("game_id").alias("maps_played"),
-            rounded_mean(F.col("r_rating"), 3).alias("avg_rating"),
-            rounded_mean(F.col("acs"), 1).alias("avg_acs"),
-            F.sum("kills").alias("total_kills"),
-            F.sum("deaths").alias("total_deaths"),
-            F.sum("assists").alias("total_assists"),
-            safe_ratio(F.sum("kills"), F.sum("deaths")).alias("kd_ratio"),
-            rounded_mean(F.col("kast"), 3).alias("avg_kast"),
-            rounded_mean(F.col("adr"), 1).alias("avg_adr"),
-            rounded_mean(F.col("hs_pct"), 3).alias("avg_hs_pct"),
-            F.sum("fk").alias("total_first_kills"),
-            F.sum("fd").alias("total_first_deaths"),
-            safe_ratio(F.sum("fk"), F.sum("fk") + F.sum("fd")).alias("fk_rate"),
-        )
+    keys = ["event_id", "region", "player_id", "player_name", "team_id", "team_short"]
+    grouped = group_with_distincts(
+        stats.where(F.col("event_id").isNotNull() & F.col("player_id").isNotNull()),
+        keys,
+        distincts={"matches_played": "match_id", "maps_played": "game_id"},
+        sums={
+            "total_kills": "kills",
+            "total_deaths": "deaths",
+            "total_assists": "assists",
+            "total_first_kills": "fk",
+            "total_first_deaths": "fd",
+        },
+        means={
+            "avg_rating": ("r_rating", 3),
+            "avg_acs": ("acs", 1),
+            "avg_kast": ("kast", 3),
+            "avg_adr": ("adr", 1),
+            "avg_hs_pct": ("hs_pct", 3),
+        },
+    )
+    first, death = F.col("total_first_kills"), F.col("total_first_deaths")
+    per_event = grouped.withColumns(
+        {"kd_ratio": safe_ratio(F.col("total_kills"), F.col("total_deaths")), "fk_rate": safe_ratio(first, first + death)}
     )
-    measures = [c for c in per_event.columns if c not in ("event_id", "region")]
+    measures = (
+        "player_id player_name team_id team_short matches_played maps_played avg_rating avg_acs total_kills total_deaths "
+        "total_assists kd_ratio avg_kast avg_adr avg_hs_pct total_first_kills total_first_deaths fk_rate"
+    ).split()
     totals = [c for c in measures if c.startswith("total_")]
     named = _named(per_event, events, "event_id", "event_name", totals).select("event_id", "event_name", "region", *measures)
     return _finish(named, "player_performance", ordered)

@@ -134,7 +134,8 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
     def existing(record_type: str) -> DataFrame | None:
         return lake.keys(spark, record_type, without_run=lake.run_ts)
 
-    events = lake.stage("events_in_scope", bronze.scoped_events(landing.events, scope))
+    seen = lake.stage("events_seen", bronze.seen_events(landing.events, scope))
+    events = bronze.in_scope(seen)
     candidates = lake.stage("candidates", bronze.candidate_matches(landing.matches, events))
     wanted = lake.stage("wanted", bronze.wanted_matches(candidates, existing("series")))
     series = lake.stage("series_payloads", bronze.usable_series(landing.series, wanted))
@@ -143,7 +144,7 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
     players = lake.stage("player_ids", bronze.unseen(bronze.player_ids(maps), "player_id", existing("player_profiles")))
 
     attempts: dict[str, DataFrame] = {
-        "events": bronze.event_attempts(landing.events, scope),
+        "events": bronze.scoped_event_attempts(events),
         "series": bronze.series_attempts(series),
         "map_picks_bans": bronze.action_attempts(series),
         "player_stats": bronze.player_stat_attempts(maps),
@@ -157,7 +158,7 @@ def ingest(spark: SparkSession, landing: Landing, lake: Lake, scope: Scope = Sco
         "player_profiles": bronze.profile_attempts(landing.profiles, players),
         "player_agent_stats": bronze.agent_stat_attempts(landing.agent_stats, players),
     }
-    counts = dict(bronze.event_counts(landing.events, scope).first().asDict())
+    counts = dict(bronze.count_seen(seen).first().asDict())
     for name, frame in bronze.series_counts(candidates, wanted, series).items():
         counts[name] = frame.count()
 

@@ -55,7 +55,7 @@ def read_in_order(spark: SparkSession, name: str, partitions: Sequence[str] = ()
     """
     rows = spark.table(name).select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
     number = lambda pattern: F.regexp_extract("__file", pattern, 1).try_cast("int")
-    earlier = Window.partitionBy(*partitions).orderBy(number(r"/part-(\d+)-[^/]*$"), number(r"[-.]c(\d+)[^/]*$"))
+    earlier = Window.partitionBy(*partitions).orderBy(number(r"/part-(\d+)-[^/]*$"), number(r"\.c(\d+)\.[^/]*$"))
     files = rows.groupBy(*partitions, "__file").agg(F.count(F.lit(1)).alias("__rows"))
     before = F.coalesce(F.sum("__rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = files.select("__file", before.alias("__before"))

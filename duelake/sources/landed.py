@@ -98,6 +98,30 @@ def read_json_lines(spark: SparkSession, prefix: str, schema: T.StructType) -> D
     return parse_documents(lines.where(F.trim("value") != "").select("value", decoded_key().alias(KEY)), schema, keep=[KEY])
 
 
+def discover_fields(spark: SparkSession, prefix: str) -> DataFrame:
+    """Every attribute of the records below a prefix: (``field``, ``records``, ``kinds``, ``merged``, ``conflict``).
+
+    ``kinds`` counts the records of each JSON type (VOID: a null), ``merged`` is the type that holds them all
+    (VARIANT where none does), ``conflict`` tells that there is more than one type besides nulls.  Counts and merged types are
+    partial aggregates, so no document is collected and the result has one row an attribute.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").text(prefix, wholetext=True)
+    documents = files.select(F.parse_json("value").alias("document"))
+    is_list = F.schema_of_variant("document").startswith("ARRAY")
+    items = documents.where(is_list).lateralJoin(spark.tvf.variant_explode(F.col("document").outer())).select(F.col("value").alias("record"))
+    records = documents.where(~is_list).select(F.col("document").alias("record")).unionByName(items)
+    fields = records.lateralJoin(spark.tvf.variant_explode(F.col("record").outer())).select(
+        F.col("key").alias("field"), "value", F.schema_of_variant("value").alias("kind")
+    )
+    counted = fields.groupBy("field", "kind").agg(F.count(F.lit(1)).alias("n"))
+    merged = fields.groupBy("field").agg(F.schema_of_variant_agg("value").alias("merged"))
+    listed = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "kind", F.col("n").cast("string")))), ",")
+    kinds = counted.groupBy("field").agg(
+        F.sum("n").alias("records"), listed.alias("kinds"), (F.count_if(F.col("kind") != "VOID") > 1).alias("conflict")
+    )
+    return kinds.join(merged, "field").select("field", "records", "kinds", "merged", "conflict")
+
+
 def discover_schema(spark: SparkSession, prefix: str) -> T.StructType:
     """Schema over all records of a prefix, for looking at unknown payloads."""
     return spark.read.option("recursiveFileLookup", "true").json(prefix, multiLine=True, samplingRatio=1.0).schema

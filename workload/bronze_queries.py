@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duelake.operators.contracts import ERRORS, rejected, tally
 from duelake.plans import bronze
+from duelake.session import shared_folder
 from duelake.sinks.records import last_accepted
 from workload import payloads
 from workload.registry import last, query
@@ -445,9 +446,13 @@ def player_agent_stats(s: Shapes) -> DataFrame:
     **SQL,
 )
 def contract_counters(s: Shapes) -> DataFrame:
+    # The chain is built once: what several types are made from is staged, and each type's counts come with its one pass.
     chain = Backfill(s)
+    folder = shared_folder(s.spark, "counters")
+    chain.series = staged(chain.series, f"{folder}/series")
+    chain.maps = staged(bronze.maps_of(chain.landing.series_maps, chain.series), f"{folder}/maps")
     flagged = {
-        "events": bronze.event_attempts(s["landing_events"], SCOPE),
+        "events": bronze.scoped_event_attempts(chain.events),
         "series": bronze.series_attempts(chain.series),
         "map_picks_bans": bronze.action_attempts(chain.series),
         "player_stats": bronze.player_stat_attempts(chain.maps),
@@ -455,3 +460,22 @@ def contract_counters(s: Shapes) -> DataFrame:
         "round_results": bronze.round_attempts(chain.maps),
     }
     return reduce(DataFrame.union, [tally(df, name) for name, df in flagged.items()])
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@query(
+    "map_round_rows",
+    """
+    SELECT m AS match_id, i AS map_index, CAST(round_number AS BIGINT) AS round_number,
+           CASE WHEN j % 2 = 0 THEN 'attack' ELSE 'defence' END AS winner_side, CAST(id1 AS BIGINT) AS winner_team_id, good
+    FROM {rounds}""",
+    rounds=ROUNDS,
+    **SQL,
+)
+def map_round_rows(s: Shapes) -> DataFrame:
+    flagged = bronze.round_attempts(Backfill(s).maps).withColumn("good", F.size(ERRORS) == 0)
+    return flagged.select("match_id", "map_index", "round_number", "winner_side", "winner_team_id", "good")

@@ -443,3 +443,29 @@ def swap_keeps_readers(s: Shapes) -> DataFrame:
         publish(s.spark, name, rows, ["patch"])
         counts.append((turn, planned.count()))
     return frame(s, counts, "round int, n bigint")
+
+
+@query("discovered_fields", """
+    SELECT field, SUM(n)::BIGINT AS records, string_agg(kind || ':' || n, ',' ORDER BY kind || ':' || n) AS kinds,
+           COUNT(*) FILTER (kind <> 'VOID') > 1 AS conflict,
+           CASE WHEN COUNT(*) FILTER (kind <> 'VOID') > 1 THEN 'VARIANT'
+                ELSE COALESCE(MAX(kind) FILTER (kind <> 'VOID'), 'VOID') END AS merged
+    FROM (
+        SELECT 'id' AS field, 'BIGINT' AS kind, COUNT(*) AS n FROM {landing_events}
+        UNION ALL SELECT 'name', 'STRING', COUNT(*) FROM {landing_events}
+        UNION ALL SELECT 'status', CASE WHEN status IS NULL THEN 'VOID' ELSE 'STRING' END, COUNT(*) FROM {landing_events} GROUP BY 2
+        UNION ALL SELECT 'prize', CASE id % 3 WHEN 0 THEN 'STRING' WHEN 1 THEN 'BIGINT' ELSE 'BOOLEAN' END, COUNT(*) FROM {landing_events} GROUP BY 2
+        UNION ALL SELECT 'end_date', 'VOID', COUNT(*) FROM {landing_events}
+    ) GROUP BY field""")
+def discovered_fields(s: Shapes) -> DataFrame:
+    # One document a page, an array of its events; the attribute prize is text, a number or a truth value.
+    from duelake.sources.landed import discover_fields
+
+    prefix = shared_folder(s.spark, "landed") + "/events/raw"
+    prize = F.when(F.col("id") % 3 == 0, F.concat(F.lit('"'), "prize", F.lit('"'))).when(F.col("id") % 3 == 1, F.col("prize")).otherwise("true")
+    plain = F.to_json(F.struct("id", "name", "status", F.col("end_date").cast("string").alias("end_date")), {"ignoreNullFields": "false"})
+    record = F.concat(F.substring(plain, F.lit(1), F.length(plain) - 1), F.lit(',"prize":'), prize, F.lit("}"))
+    pages = s["landing_events"].withColumn("part", F.col("id") % 40).groupBy("page", "part")
+    documents = pages.agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value"))
+    documents.repartition("page", "part").write.partitionBy("page", "part").option("lineSep", "\n").text(prefix)
+    return discover_fields(s.spark, prefix)
