@@ -185,31 +185,25 @@ def estimate(spans: DataFrame, rounds: int = ROUNDS) -> Column | None:
     The latent variable is whether a span is personal data; the labelers are independent given it.  It
     starts from the majority of the votes.  A kind's prior and each labeler's rates are smoothed by one.
     """
-    patterns = staged(spans.groupBy("kind", *VOTERS).agg(F.count("*").alias("n")), "pii-votes")
-    columns = {name: F.col(name) for name in ("kind", *VOTERS)}
-    odds: Column = sum((columns[v] for v in VOTERS), F.lit(0.0))
+    # Kinds times votes: at most 6 * 3 ** 7 patterns, whatever the number of spans.
+    patterns = [(r.asDict(), r["n"]) for r in spans.groupBy("kind", *VOTERS).agg(F.count("*").alias("n")).collect()]
+    if not patterns:
+        return None
     kinds = (*BASE_KINDS, *MORE_KINDS)
-    cells = [("kind", k) for k in kinds] + [(v, x) for v in VOTERS for x in (-1, 0, 1)]
+    weight = lambda found: [1 / (1 + math.exp(-min(500.0, max(-500.0, found(p))))) for p, _ in patterns]
+    likely = weight(lambda p: sum(p[v] for v in VOTERS))
     for _ in range(rounds):
-        yes = F.col("n") / (1 + F.exp(-odds))
-        sums = [
-            total
-            for name, x in cells
-            for total in (
-                F.sum(F.when(columns[name] == x, yes).otherwise(0.0)),
-                F.sum(F.when(columns[name] == x, F.col("n") - yes).otherwise(0.0)),
-            )
-        ]
-        row = patterns.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()
-        if row[0] is None:
-            return None
-        count = {cell: (row[2 * i] + 1, row[2 * i + 1] + 1) for i, cell in enumerate(cells)}
+        count = {("kind", k): [1.0, 1.0] for k in kinds} | {(v, x): [1.0, 1.0] for v in VOTERS for x in (-1, 0, 1)}
+        for (pattern, n), yes in zip(patterns, likely, strict=True):
+            for cell in (("kind", pattern["kind"]), *((v, pattern[v]) for v in VOTERS)):
+                count[cell][0] += n * yes
+                count[cell][1] += n * (1 - yes)
         totals = [sum(count["kind", k][side] for k in kinds) for side in (0, 1)]
         ratio = lambda cell: math.log(count[cell][0] / totals[0]) - math.log(count[cell][1] / totals[1])
         reliable = {v: {x: ratio((v, x)) for x in (-1, 0, 1)} for v in VOTERS}
         prior = {k: math.log(count["kind", k][0] / count["kind", k][1]) for k in kinds}
-        odds = _log_odds(columns, reliable, prior)
-    return odds
+        likely = weight(lambda p: prior[p["kind"]] + sum(reliable[v][p[v]] for v in VOTERS))
+    return _log_odds({name: F.col(name) for name in ("kind", *VOTERS)}, reliable, prior)
 
 
 def train(spans: DataFrame, odds: Column) -> tuple[dict[str, float], float]:
