@@ -370,6 +370,75 @@ def test_licences(docs, empty, spark):
     assert licences.scan(empty.withColumn("path", F.col("lang"))).count() == 0
 
 
+LICENCE_LINES = [
+    ("GNU General Public License, version 2", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("licensed under the GNU Lesser General Public License version 3", "LGPL-3.0"),
+    ("This file is licensed under GPLv2", "GPL-2.0"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("// SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+    ("Released under the ISC license.", "ISC"),
+    ("Copyright 2020 X. All rights reserved.", "Proprietary"),
+    (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files "
+        '(the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, '
+        "merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\n"
+        "furnished to do so, subject to the following conditions:",
+        "MIT",
+    ),
+    ("he lost his driver license", None),
+    ("licence plates are issued by the office every year in spring", None),
+]
+
+
+def test_licences_by_version_variant_and_tag(spark):
+    rows = [(i, f"d{i}/f.py", line + "\n" + "code word here " * 30) for i, (line, _) in enumerate(LICENCE_LINES)]
+    out = by_id(licences.scan(spark.createDataFrame(rows, "doc_id int, path string, text string")))
+    assert {i: out[i].licence for i in out} == {i: name for i, (_, name) in enumerate(LICENCE_LINES)}
+
+
+def test_licence_similarity_equals_brute_force(spark):
+    """One line a file: the cosine of weighed words with the best template, lowered for every deciding word of one side."""
+    lines = [line for line, _ in LICENCE_LINES if "\n" not in line]
+    files = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "row long, text string")
+    texts = [s for _, s in licences.TEMPLATES]
+    frame = spark.createDataFrame([(t,) for t in [*lines, *texts]], "t string").select(licences.terms(F.col("t")).alias("w"))
+    words = [r.w for r in frame.collect()]
+    docs, templates = words[: len(lines)], words[len(lines) :]
+    known = {w for ws in templates for w in ws}
+    idf = {w: math.log((len(docs) + 1) / (sum(w in d for d in docs) + 1)) + 0.1 for w in known}
+    best = {}
+    for i, doc in enumerate(docs):
+        weights = {w: n * idf.get(w, math.log(len(docs) + 1) + 0.1) for w, n in Counter(doc).items()}
+        norm = math.sqrt(sum(x * x / (1 if w in known else 4) for w, x in weights.items()))
+        for (name, _), template in zip(licences.TEMPLATES, templates, strict=True):
+            own = {w: n * idf[w] for w, n in Counter(template).items()}
+            dot = sum(x * own.get(w, 0) for w, x in weights.items()) / math.sqrt(sum(x * x for x in own.values()))
+            apart = len({w for w in doc if w in licences.DECIDING} ^ {w for w in template if w in licences.DECIDING})
+            similarity = dot / norm * licences.DISAGREED**apart
+            if similarity >= licences.LEAST and similarity > best.get(i, (0, ""))[0] + 1e-9:
+                best[i] = (similarity, name)
+    found = {r.row: (r.similarity, r.licence) for r in licences.matches(files, "text").collect()}
+    assert found.keys() == best.keys() and len(found) >= 14
+    for i, (similarity, name) in best.items():
+        assert found[i] == (pytest.approx(similarity, abs=2e-6), name)
+
+
+def test_licence_scan_keeps_columns_of_any_name(spark):
+    names = "parent passage inherited words row part file depth template term w told own turn best unit tf df idf dot norm".split()
+    frame = spark.createDataFrame([("a/LICENSE", "Released under the MIT License."), ("a/b.py", "x"), ("a/b.py", "x")], "path string, text string")
+    frame = frame.withColumns({n: F.lit(n) for n in names})
+    out = licences.scan(frame).collect()
+    assert len(out) == 3 and all(r[n] == n for r in out for n in names)
+    assert sorted((r.path, r.licence, r.origin) for r in out) == [("a/LICENSE", "MIT", "own")] + [("a/b.py", "MIT", "inherited")] * 2
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(docs, spark, tmp_path):
     import corpus_pipeline
 
