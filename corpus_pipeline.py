@@ -5,7 +5,7 @@ one's ``docs``.  All but the last return the columns of ``documents``.
 
 * toxicity: documents with a score of 0.5 or more go.
 * near duplicates: of each component the document with the smallest id stays; rows without id stay, and of rows that
-  share an id one stays.
+  share an id the one whose text (then language, source, length) is least.
 * personal data: every span becomes ``<KIND>``, and ``n_chars`` is counted anew.
 * mixing: sources are taken to the temperature weights, each whole at least once and at most ``REPEATS`` times; a document
   that is taken again is a further row.
@@ -34,14 +34,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates.deduplicate(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    kept = near_duplicates.deduplicate(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
+    whole = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    # Of rows that share an id the one with the least text, language, source and length stays.
+    order = F.struct(*(F.col("row")[c] for c in ("text", "lang", "source", "n_chars")))
+    named = whole.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", order).alias("row"))
+    return named.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    redacted = pii.redact(pii.annotate(docs, keep_text=True))
-    return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    # All columns but the text travel as one, so that none can clash with the columns of the annotation.
+    rest = [c for c in docs.columns if c != "text"]
+    packed = docs.select("doc_id", "text", F.struct(*rest).alias("row"))
+    redacted = pii.redact(pii.annotate(packed, keep_text=True))
+    counted = F.length("text").cast("long")
+    return redacted.select(
+        *(F.col("text") if c == "text" else (counted if c == "n_chars" else F.col("row")[c]).alias(c) for c in docs.columns)
+    )
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +60,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .groupBy(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash"), F.col("source").alias("taken_source"))
         .agg(F.countDistinct("epoch").cast("int").alias("times"))  # a repeated row is taken once for each of its rows
     )
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("taken_id"))
-        & F.xxhash64("text").eqNullSafe(F.col("taken_hash"))
-        & (F.coalesce("source", F.lit("")) == F.col("taken_source"))
+        F.col("row")["doc_id"].eqNullSafe(F.col("taken_id"))
+        & F.xxhash64(F.col("row")["text"]).eqNullSafe(F.col("taken_hash"))
+        & (F.coalesce(F.col("row")["source"], F.lit("")) == F.col("taken_source"))
     )
-    return docs.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
+    return packed.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
