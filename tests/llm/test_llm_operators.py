@@ -453,3 +453,30 @@ def test_pipeline_stages_keep_columns_and_clean_documents(docs, spark, tmp_path)
     assert {r.doc_id for r in at.select("doc_id").collect()} == set(TEXTS) - {5, 6} | {None}
     digest = {r.doc_id: hashlib.sha256(bytes(r.ids)).hexdigest() for r in at.collect()}
     assert digest[1] == hashlib.sha256(b"").hexdigest()
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, tmp_path):
+    import corpus_pipeline
+
+    names = (
+        "candidates base spans times copy row kept id key signature a b component taken_id taken_hash taken_source text_hash epoch "
+        "position tokens weight _id _labelled _order toxic score windows"
+    ).split()
+    rows = [(i, f"{LONG[: 400 + 40 * i]} mail me.x@mail.example.com {i}", "en", f"src{i % 2}", 0) for i in range(8)]
+    rows += [(20, "b text of two rows", "en", "src0", 0), (20, "a text of two rows", "en", "src0", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({n: F.lit(n) for n in names})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(4, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    at = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, str(tmp_path))
+        at.write.parquet(str(tmp_path / name))
+        at = spark.read.parquet(str(tmp_path / name))
+        if name != "tokens":
+            assert at.columns == docs.columns
+        if name == "near_duplicates":
+            assert [r.text for r in at.where("doc_id = 20").collect()] == ["a text of two rows"]
+        if name == "personal_data":
+            assert at.where("text like '%<EMAIL>%'").count() > 0 and at.where("n_chars <> length(text)").count() == 0
+    assert all(r[n] == n for r in at.collect() for n in names)
