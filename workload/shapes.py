@@ -78,7 +78,7 @@ SHAPES = {
                '2025-01-01T00:00:00' AS ingested_at, {key_of('c_custkey')} AS _key, 0 AS _pos
         FROM {{customer}}""",
     "raw_team_info": f"""
-        SELECT CAST(s_suppkey % 61 AS STRING) AS team_id, s_name AS name, CONCAT('T', CAST(s_nationkey AS STRING)) AS tag,
+        SELECT CASE WHEN s_suppkey % 37 = 0 THEN NULL ELSE CAST(s_suppkey % 61 AS STRING) END AS team_id, s_name AS name, CONCAT('T', CAST(s_nationkey AS STRING)) AS tag,
                CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE CONCAT('logo/', s_name) END AS logo_url,
                CAST(s_nationkey AS STRING) AS country,
                CASE WHEN s_acctbal > 0 THEN 'true' ELSE 'false' END AS is_active,
@@ -90,7 +90,7 @@ SHAPES = {
                CAST((c_custkey * 2 + 1) % 122 AS STRING) AS player2, c_name AS ign, {key_of('c_custkey')} AS _key
         FROM {{customer}}""",
     "raw_player_profiles": f"""
-        SELECT CAST(p_partkey % 1500 AS STRING) AS player_id, p_name AS handle, p_brand AS real_name, p_type AS country,
+        SELECT CASE WHEN p_partkey % 173 = 0 THEN NULL ELSE CAST(p_partkey % 1500 AS STRING) END AS player_id, p_name AS handle, p_brand AS real_name, p_type AS country,
                CASE WHEN p_size > 25 THEN NULL ELSE CONCAT('img/', p_brand) END AS avatar_url,
                SPLIT(p_name, ' ') AS aliases,
                '2025-01-01T00:00:00' AS ingested_at, {key_of('p_partkey')} AS _key, 0 AS _pos
