@@ -25,12 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from duelake.llm.common import slices, texts_of
+from duelake.llm.common import give_back, slices, texts_of
 
 #: Pairs are kept as one integer: left * PAIR + right.
 PAIR = 1 << 20
 #: Words kept encoded from one block to the next in a worker; beyond it the store starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -159,6 +159,9 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks)
         self.pattern = regex.compile(pattern)
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
         self.odd: set[bytes] = set()
@@ -173,7 +176,7 @@ class Encoder:
 
     def block(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS or len(self.pieces) > KEPT_WORDS:
-            self.known, self.pieces, self.odd = {}, {}, set()
+            self.forget()
         split = [text.split(b" ") for text in texts]
         heads = [parts[0] for parts in split]
         for parts in split:
@@ -223,7 +226,7 @@ def _extended(df: DataFrame, column: str) -> T.StructType:
 
 
 def encode(
-    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", block_bytes: int = 4 << 20
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", block_bytes: int = 2 << 20
 ) -> DataFrame:
     """Replace ``text`` by ``ids``: its token ids as little-endian unsigned 32-bit integers.
 
@@ -234,14 +237,18 @@ def encode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path, pattern)
-        for batch in slices(batches, text, block_bytes):
-            at = batch.schema.names.index(text)
-            out = encoder.block(texts_of(batch, text))
-            rest = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in rest), pa.array(out, pa.binary())],
-                names=[*(batch.schema.names[i] for i in rest), ids],
-            )
+        try:
+            for batch in slices(batches, text, block_bytes):
+                at = batch.schema.names.index(text)
+                out = encoder.block(texts_of(batch, text))
+                rest = [i for i in range(batch.num_columns) if i != at]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in rest), pa.array(out, pa.binary())],
+                    names=[*(batch.schema.names[i] for i in rest), ids],
+                )
+        finally:
+            encoder.forget()
+            give_back()
 
     return source.mapInArrow(run, schema)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,17 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20)
             yield batch.slice(start, end - start)
 
 
+def give_back() -> None:
+    """Return the memory that a task has freed to the system; workers live on and would keep it for themselves."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """A text column as UTF-8; a null is empty."""
     return [t or b"" for t in batch.column(batch.schema.names.index(column)).cast(pa.binary()).to_pylist()]

@@ -25,7 +25,8 @@ import json
 import math
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelake.llm.common import slices, staged, texts_of
+from duelake.llm.common import give_back, slices, staged, texts_of
 
 #: Labelled documents that the fit takes at most.
 TOXIC, ORDINARY = 2_500, 5_000
@@ -48,7 +49,8 @@ CUTS = (3, 4, 5, 6, 7)
 LEAST, MOST = -3, 9
 #: Longest windows of the length classes; the same distance says more of a short window.
 LENGTHS = (6, 8, 10, 13)
-KEPT_WINDOWS = 400_000
+#: Bytes of remembered windows in a task; beyond it the store starts anew.
+KEPT_BYTES = 24 << 20
 CLASSES = len(LENGTHS) + 1
 CELLS = (MOST - LEAST + 1) * CLASSES
 
@@ -88,21 +90,23 @@ def dictionary(counts: Counter[bytes], size: int) -> bytes:
     return b"".join(reversed(chosen)) + b" " + TAIL
 
 
-def toxic_words(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Counter[bytes]:
+def toxic_words(toxic: list[tuple[bytes, ...]], ordinary: list[tuple[bytes, ...]]) -> Counter[bytes]:
     """Documents with each telling part of a word of toxic text."""
     found: Counter[bytes] = Counter()
     for words in toxic:
         found.update(set().union(*map(_runs, words)))
     least = max(3, SUPPORT * len(toxic))
     frequent = {run: n for run, n in found.items() if n >= least}
-    known: dict[bytes, set[bytes]] = {}
+    del found
+    shared = {run: run for run in frequent}
+    known: dict[bytes, tuple[bytes, ...]] = {}
     against: Counter[bytes] = Counter()
     for words in ordinary:
         runs: set[bytes] = set()
         for word in words:
             if word not in known:
-                known[word] = {r for r in _runs(word) if r in frequent}
-            runs |= known[word]
+                known[word] = tuple(shared[r] for r in _runs(word) if r in shared)
+            runs.update(known[word])
         against.update(runs)
     telling = {
         run for run, n in frequent.items() if (against[run] + 0.5) / max(1, len(ordinary)) * CONTRAST < n / len(toxic)
@@ -127,17 +131,22 @@ class Distance:
             )
             for content in (toxic, ordinary)
         )
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.held = 0
 
-    def __call__(self, words: set[bytes]) -> np.ndarray:
-        if len(self.known) > KEPT_WINDOWS:
-            self.known = {}
+    def __call__(self, words: Collection[bytes]) -> np.ndarray:
+        if self.held > KEPT_BYTES:
+            self.forget()
         known = self.known
         for word in words:
             if word not in known:
                 block = word + TAIL
                 saved = len(self.ordinary.compress(block)) - len(self.toxic.compress(block))
                 known[word] = (min(MOST, max(LEAST, saved)) - LEAST) * CLASSES + bisect_left(LENGTHS, len(word))
+                self.held += len(word) + 120  # with the headers and the entry of the table
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
@@ -164,7 +173,9 @@ def fit(texts: list[bytes], toxic: list[bool], calibrate: list[bool], odds: floa
     kinds = sorted(set(toxic))
     if len(kinds) < 2:
         return {"constant": float(bool(kinds and kinds[0]))}
-    sets = [windows(t) for t in texts]
+    # Each word is held once, whatever the number of documents with it.
+    once: dict[bytes, bytes] = {}
+    sets = [tuple(once.setdefault(w, w) for w in windows(t)) for t in texts]
     part = lambda kind, later: [s for s, x, c in zip(sets, toxic, calibrate, strict=True) if x == kind and c == later]
     bad, good = part(True, False) or part(True, True), part(False, False) or part(False, True)
     marked = toxic_words(bad, good)
@@ -220,6 +231,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
         turn = sorted(range(len(texts)), key=lambda i: (order[i], texts[i]))
         model = fit(*([xs[i] for i in turn] for xs in (texts, toxic, calibrate)), odds)
         packed = {k: v.hex() if isinstance(v, bytes) else v for k, v in model.items()}
+        order, texts, toxic, calibrate = [], [], [], []
+        give_back()
         yield pa.RecordBatch.from_pydict({"model": [json.dumps(packed)]})
 
     found = held.repartition(1).mapInArrow(run, "model string").first()
@@ -232,30 +245,36 @@ def _distance(toxic: bytes, ordinary: bytes) -> Distance:
     return Distance(toxic, ordinary)
 
 
-def scorer(model: dict):
-    """A function from a text's windows to its score."""
+@contextmanager
+def scorer(model: dict) -> Iterator[Callable[[Collection[bytes]], float]]:
+    """A function from a text's windows to its score; what it remembers goes at the end."""
     if "constant" in model:
-        return lambda words: model["constant"]
+        yield lambda words: model["constant"]
+        return
     distance = _distance(model["toxic"], model["ordinary"])
     weights, mean, spread, beta = (np.array(model[k]) for k in ("weights", "mean", "spread", "beta"))
 
-    def probability(words: set[bytes]) -> float:
+    def probability(words: Collection[bytes]) -> float:
         x = (np.array(described(distance(words), weights)) - mean) / spread
         return 1 / (1 + math.exp(-min(500.0, max(-500.0, float(beta[0] + x @ beta[1:])))))
 
-    return probability
+    try:
+        yield probability
+    finally:
+        distance.forget()
+        give_back()
 
 
 def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc_id``, ``score``, ``windows``) of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probability = scorer(model)
-        for batch in slices(batches, "text"):
-            sets = [windows(value) for value in texts_of(batch, "text")]
-            scores = pa.array([probability(words) for words in sets], pa.float64())
-            sizes = pa.array([len(words) for words in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores, sizes], names=["doc_id", "score", "windows"])
+        with scorer(model) as probability:
+            for batch in slices(batches, "text", 1 << 20):
+                sets = [windows(value) for value in texts_of(batch, "text")]
+                scores = pa.array([probability(words) for words in sets], pa.float64())
+                sizes = pa.array([len(words) for words in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), scores, sizes], names=["doc_id", "score", "windows"])
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return source.mapInArrow(run, "doc_id long, score double, windows long")
@@ -265,8 +284,8 @@ def keep_ordinary(docs: DataFrame, model: dict, text: str = "text", limit: float
     """The documents, all columns, whose score is below ``limit``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probability = scorer(model)
-        for batch in slices(batches, text):
-            yield batch.filter(pa.array([probability(windows(value)) < limit for value in texts_of(batch, text)]))
+        with scorer(model) as probability:
+            for batch in slices(batches, text, 1 << 20):
+                yield batch.filter(pa.array([probability(windows(value)) < limit for value in texts_of(batch, text)]))
 
     return docs.mapInArrow(run, docs.schema)
