@@ -25,12 +25,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelake.llm.common import slices, staged, texts_of
 
 CLASSES = 1_023
+#: Tasks whose weights are added first.
+TOGETHER = 64
 LISTED = 150_000
 WIDTH = 24
 NOISE = 32
@@ -184,7 +187,8 @@ def train(docs: DataFrame, text: str, classes: dict[bytes, int], shares: np.ndar
     rare = len(shares) - 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(shares, seed=11)
+        task = TaskContext.get().partitionId()
+        trainer = Trainer(shares, seed=11 + task)
         for batch in slices(batches, "text", 2 << 20):
             word, first, second, _ = sequences(texts_of(batch, "text"), classes, rare)
             order = trainer.numbers.permutation(len(word))
@@ -196,22 +200,32 @@ def train(docs: DataFrame, text: str, classes: dict[bytes, int], shares: np.ndar
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array(range(len(flat)), pa.int32()),
+                    "group": pa.array([task // TOGETHER] * len(flat), pa.int32()),
                     "seen": pa.array([float(trainer.seen)] * len(flat), pa.float64()),
                     "values": pa.array([f.tobytes() for f in flat], pa.binary()),
                 }
             )
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v, np.float64) for v in table.column("values").to_pylist())
-        seen = sum(table.column("seen").to_pylist())
-        return pa.table({"part": table.column("part")[:1], "values": pa.array([(total / seen).tobytes()], pa.binary())})
+        total = np.zeros(len(table.column("values")[0].as_buffer()) // 8)
+        for value in table.column("values"):
+            total += np.frombuffer(value.as_buffer(), np.float64)
+        return pa.table(
+            {
+                "part": table.column("part")[:1],
+                "group": table.column("group")[:1],
+                "seen": pa.array([sum(table.column("seen").to_pylist())], pa.float64()),
+                "values": pa.array([total.tobytes()], pa.binary()),
+            }
+        )
 
-    # Few tasks' weights meet at once: they are added in groups, then the groups.
+    # Few tasks' weights meet at once: they are added in groups of ``TOGETHER`` tasks, then the groups.
+    schema = "part int, group int, seen double, values binary"
     source = docs.select(F.col(text).alias("text")).coalesce(tasks)
-    local = source.mapInArrow(run, "part int, seen double, values binary")
-    rows = local.groupBy("part").applyInArrow(add, "part int, values binary").collect()
+    grouped = source.mapInArrow(run, schema).groupBy("part", "group").applyInArrow(add, schema)
+    rows = grouped.groupBy("part").applyInArrow(add, schema).collect()
     start = Weights(shares)
-    found = {r["part"]: np.frombuffer(r["values"], np.float64) for r in rows}
+    found = {r["part"]: np.frombuffer(r["values"], np.float64) / r["seen"] for r in rows}
     return [found[i].reshape(p.shape).astype(np.float32) if i in found else p for i, p in enumerate(start.parts())]
 
 
