@@ -60,7 +60,7 @@ def op2_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     docs = documents(spark, directory)
     return toxicity.score(docs, toxicity_model(spark, docs, directory)).select(
         "doc_id",
-        (F.pmod(id_crc(F.col("doc_id")), F.lit(5)) == 0).alias("held_out"),
+        F.coalesce(F.pmod(id_crc(F.col("doc_id")), F.lit(5)) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "windows",
