@@ -44,8 +44,9 @@ CHECKSUMS = 0x80
 FRAME_BYTES = 1 << 20
 #: Texts encoded together.
 BLOCK_BYTES = 4 << 20
-#: Bytes of encoded words, and of chunks put together from them, that a task keeps; beyond it a store starts anew.
-KEPT_WORDS, KEPT_CHUNKS = 80 << 20, 64 << 20
+#: Bytes of encoded words, and of chunks put together from them, that a worker keeps from task to task; beyond it a store
+#: starts anew.
+KEPT_WORDS, KEPT_CHUNKS = 96 << 20, 96 << 20
 #: Bytes of an entry besides its text: a string and a bytes object with their headers, the place in the table.
 ENTRY = 200
 #: Words that go to the tokenizer as one text.
@@ -297,7 +298,6 @@ def write(
             if writer is not None:
                 writer.close()
         finally:
-            encoder.forget()
             if out is not None:
                 out.close()
         if writer is not None:
