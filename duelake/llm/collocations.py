@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelake.llm.common import slices, staged, texts_of
+from duelake.llm.common import give_back, slices, staged, texts_of
 
 WORDS = 4
 #: Bits of an admission bitmap, whatever the size of the corpus.
@@ -38,14 +38,16 @@ BITMAP_BITS = 1 << 26
 #: Bits of one row of Spark's bitmap aggregate.
 ROW_BITS = 32_768
 #: Bytes of text counted together.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
 #: Rows of one batch that a task hands on.
 ROWS_HANDED = 50_000
 #: Distinct words a task keeps between blocks.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: Marks that end a piece become a full stop, tabs a space, A-Z a-z.
 TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b".......... abcdefghijklmnopqrstuvwxyz")
 STOP = b"."
+#: Parts of a language that are ranked by themselves first.
+PARTS = 64
 COUNTS = "lang string, phrase string, f long"
 
 
@@ -66,6 +68,7 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
             yield from ((lang, tokens(texts)) for lang, texts in held.items())
             held, size = {}, 0
     yield from ((lang, tokens(texts)) for lang, texts in held.items())
+    give_back()
 
 
 def _counts(lang: str, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -310,6 +313,10 @@ def collocations(
     phrases, sizes = frequent_phrases(docs, least, lang, text)
     phrases = staged(phrases, "phrases")
     count = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = candidates(phrases, share, count).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    by = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # First the best of each of some parts of a language, so that no more than PARTS * top rows of one meet in a task.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    within = candidates(phrases, share, count).withColumn("part", part)
+    within = within.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*by))).where(F.col("rank") <= top)
+    ranked = within.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
