@@ -140,7 +140,7 @@ def frequencies(files: DataFrame, text: str) -> tuple[DataFrame, int]:
 
 
 def matches(files: DataFrame, text: str) -> DataFrame:
-    """Best licence of each file that has one: ``row``, ``licence``, ``similarity``, ``passage``."""
+    """Best licence of each file that has one: ``row``, ``licence``, ``similarity``, ``length`` (words of the passage)."""
     spark = files.sparkSession
     counted, total = frequencies(files, text)
     highest = F.log(F.lit(total + 1.0))
@@ -158,10 +158,11 @@ def matches(files: DataFrame, text: str) -> DataFrame:
     # Lines around a cue, and the paragraphs that hold one.
     paragraphs = F.filter(F.split(F.col(text), r"\n[ \t\r]*\n"), has_cue)
     found = F.array_distinct(F.concat(F.regexp_extract_all(F.col(text), F.lit(PASSAGE), F.lit(0)), paragraphs))
-    passages = files.where(has_cue(F.col(text))).select("row", F.explode(found).alias("passage"))
+    passages = files.where(has_cue(F.col(text))).select("row", F.posexplode(found).alias("number", "passage"))
+    words = passages.select("row", "number", terms(F.col("passage")).alias("words"))
     weighed = staged(
-        passages.select("row", "passage", F.explode(terms(F.col("passage"))).alias("term"))
-        .groupBy("row", "passage", "term")
+        words.select("row", "number", F.size("words").alias("length"), F.explode("words").alias("term"))
+        .groupBy("row", "number", "length", "term")
         .agg(F.count("*").alias("tf"))
         .join(F.broadcast(idf), "term", "left")
         .withColumn("w", F.col("tf") * F.coalesce("idf", highest + 0.1)),
@@ -170,19 +171,19 @@ def matches(files: DataFrame, text: str) -> DataFrame:
     # Words that no template holds are noise around the statement; they count half.
     square = F.when(F.col("idf").isNull(), F.col("w") * F.col("w") / 4).otherwise(F.col("w") * F.col("w"))
     told = F.collect_set(F.when(F.col("term").isin(DECIDING), F.col("term")))
-    norms = weighed.groupBy("row", "passage").agg(F.sqrt(F.sum(square)).alias("norm"), told.alias("told"))
+    norms = weighed.groupBy("row", "number").agg(F.sqrt(F.sum(square)).alias("norm"), told.alias("told"))
     own = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(TEMPLATES)], "template int, statement string")
     own = own.select("template", deciding(terms(F.col("statement"))).alias("own"))
     products = (
         weighed.join(F.broadcast(templates), "term")
-        .groupBy("row", "passage", "template", "licence")
+        .groupBy("row", "number", "length", "template", "licence")
         .agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
     )
     apart = F.size(F.array_except("own", "told")) + F.size(F.array_except("told", "own"))
     similar = F.col("dot") / F.col("norm") * F.pow(F.lit(DISAGREED), apart)
-    scored = products.join(norms, ["row", "passage"]).join(F.broadcast(own), "template").withColumn("similarity", F.round(similar, 6))
-    best = F.max(F.struct(F.col("similarity"), (-F.col("template")).alias("turn"), F.col("licence"), F.col("passage"))).alias("best")
-    return scored.where(F.col("similarity") >= LEAST).groupBy("row").agg(best).select("row", "best.licence", "best.similarity", "best.passage")
+    scored = products.join(norms, ["row", "number"]).join(F.broadcast(own), "template").withColumn("similarity", F.round(similar, 6))
+    best = F.max(F.struct(F.col("similarity"), (-F.col("template")).alias("turn"), F.col("licence"), F.col("length"))).alias("best")
+    return scored.where(F.col("similarity") >= LEAST).groupBy("row").agg(best).select("row", "best.licence", "best.similarity", "best.length")
 
 
 def scan(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
@@ -204,7 +205,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
         ).join(own, "row", "left"),
         "licence-files",
     )
-    speaks = F.col("path").rlike(LICENCE_NAME) | (F.size(terms(F.col("passage"))) >= MOSTLY * F.col("words"))
+    speaks = F.col("path").rlike(LICENCE_NAME) | (F.col("length") >= MOSTLY * F.col("words"))
     given = (
         named.where(F.col("licence").isNotNull() & F.col("parent").isNotNull() & speaks)
         .groupBy(F.col("parent").alias("directory"))
