@@ -8,7 +8,7 @@ from duelake import commits
 from duelake.operators.keys import VIOLATION, pk_flagged, pk_gate
 from duelake.plans import bronze, jobs
 from duelake.plans.bronze import Landing
-from duelake.registry import GOLD, SILVER
+from duelake.registry import GOLD, SILVER, clustered
 from duelake.sinks.records import last_accepted, write_keyed
 from duelake.sinks.tables import ensure_database, publish, publish_flagged, read_in_order, reset, spread_for_write
 from duelake.sources.files import write_new
@@ -505,3 +505,32 @@ def test_catalogue_publish_runs_the_plan_once(spark, monkeypatch):
     df = spark.range(10).mapInArrow(run, "id long")
     assert publish(spark, "cat.db.t", df, ["id"]) == 10 and publish(spark, "cat.db.t", df.where("id > 99")) == 0
     assert handed == [("cat.db.t", 10, ("id",))] and calls.value == 20
+
+
+def test_a_table_split_by_events_has_files_by_its_rows_and_not_by_its_events(spark, tmp_path):
+    split = SILVER["fact_event_standings"].partitions
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_many LOCATION '{tmp_path}/db'")
+    event = F.when(F.col("id") % 1000 != 7, F.col("id") % 1000).alias("event_id")
+    flagged = spark.range(0, 5000, 1, 4).select(event, "id", (F.col("id") % 1000 == 8).alias(VIOLATION))
+    clean, violations, bad = publish_flagged(spark, "t_many.fact", flagged, split, clustered=clustered(split))
+    assert (clean, bad, violations.count()) == (4995, 5, 5)
+    assert len([*(tmp_path / "db").rglob("*.parquet")]) < 50  # a folder for each event made a thousand
+    expected = [tuple(r) for r in flagged.where(~F.col(VIOLATION)).select("id", "event_id").orderBy("id").collect()]
+    assert rows(spark.table("t_many.fact"), "id") == expected
+    named = {c.name for c in spark.catalog.listColumns("t_many.fact") if c.isCluster}
+    assert named == set(split) and spark.table("t_many.fact").columns == ["id", "event_id"]
+    # The other way of writing takes the table over, and back.
+    for by_cluster in (False, True):
+        assert publish(spark, "t_many.fact", flagged.drop(VIOLATION), split, clustered=by_cluster) == 5000
+        assert spark.table("t_many.fact").count() == 5000
+
+
+def test_order_of_a_clustered_table_is_counted_within_its_values(spark):
+    ensure_database(spark, "t_many_order")
+    value = F.when(F.col("id") % 40 != 0, F.col("id") % 40).alias("event_id")
+    df = spark.range(0, 4000, 1, 4).select("id", value, F.lit("").alias("text"))
+    assert publish(spark, "t_many_order.t", df, ["event_id", "text"], [("id", True)], clustered=True) == 4000
+    got = read_in_order(spark, "t_many_order.t", ["event_id", "text"])
+    wrong = got.where(F.col("position") != 100 - F.floor(F.col("id") / 40))
+    assert got.count() == 4000 and wrong.count() == 0
+    assert got.where(F.col("text").isNotNull()).count() == 0  # as a folder's name would have it
