@@ -8,8 +8,8 @@ best separates labelled good from labelled poor documents which the trusted coun
 Everything is built from DataFrame functions.  The corpus is read twice; what is shuffled is one row for
 each bucket and task, and a document's own work stays in its row.
 
-Labels beyond ``sample`` rows are left out of the *fit* (the rows of lowest hash are taken, whatever the table's
-size); the raw counts, scores and rules cover every document.
+All labels are used: of every labelled id either its text is counted as trusted or its score helps to set the
+threshold.  The raw counts, scores and rules cover every document.
 
 Edge cases: a null or empty text has no words, score 0 and fails the rules; without trusted labels every
 score is 0, and without labels of both kinds the threshold keeps every document that passes the rules.
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from duelake.llm.common import WORD_BREAK, staged
 
 BUCKETS = 8192
-SAMPLE = 20_000
 WINDOW = 8
 #: How much more the loss of a share of good documents counts than the catch of the same share of poor ones.
 CLEAN_WEIGHT = 10
@@ -105,8 +104,8 @@ def buckets(hashes: Column, count: int = BUCKETS) -> Column:
     return F.concat(single, pair)
 
 
-def label_sample(labels: DataFrame, doc_id: str, quality: str, most: int) -> DataFrame:
-    """At most ``most`` labelled ids: those of lowest hash; half of them to count, half to set the threshold.
+def known_labels(labels: DataFrame, doc_id: str, quality: str) -> DataFrame:
+    """All labelled ids; half of them (by hash) to count, half to set the threshold.
 
     An id with several labels is good only if all of them are.
     """
@@ -114,18 +113,16 @@ def label_sample(labels: DataFrame, doc_id: str, quality: str, most: int) -> Dat
         labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull())
         .groupBy(F.col(doc_id).alias("_labelled"))
         .agg(F.min(F.col(quality)).alias("_good"))
-        .orderBy(F.xxhash64("_labelled"), "_labelled")
-        .limit(most)
         .withColumn("_fit", F.pmod(F.xxhash64(F.col("_labelled") + 1), F.lit(2)) == 0)
     )
 
 
-def log_ratios(docs: DataFrame, sample: DataFrame, doc_id: str, text: str, count: int) -> list[float]:
+def log_ratios(docs: DataFrame, known: DataFrame, doc_id: str, text: str, count: int) -> list[float]:
     """For each bucket log(trusted share / raw share), with one added to every count.
 
     The result has ``count`` numbers, whatever the corpus.
     """
-    trusted = F.broadcast(sample.where((F.col("_good") == 1) & F.col("_fit")).select("_labelled"))
+    trusted = known.where((F.col("_good") == 1) & F.col("_fit")).select("_labelled")
     counted = (
         with_words(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), "_text")
         .join(trusted, F.col("_id") == F.col("_labelled"), "left")
@@ -145,9 +142,9 @@ def log_ratios(docs: DataFrame, sample: DataFrame, doc_id: str, text: str, count
     ]
 
 
-def threshold(scored: DataFrame, sample: DataFrame, doc_id: str, score: str = "score") -> float | None:
+def threshold(scored: DataFrame, known: DataFrame, doc_id: str, score: str = "score") -> float | None:
     """The score that best separates held-back good from poor documents that pass the surface rules."""
-    held = F.broadcast(sample.where(~F.col("_fit")))
+    held = known.where(~F.col("_fit"))
     bins = (
         scored.where(~F.col("base_failed"))
         .join(held, F.col(doc_id) == F.col("_labelled"))
@@ -184,10 +181,9 @@ def judge(
     text: str = "text",
     quality: str = "quality",
     count: int = BUCKETS,
-    sample: int = SAMPLE,
 ) -> DataFrame:
     """One row a document: its id, the surface counts, ``base_failed``, ``score``, ``kept``."""
-    known = staged(label_sample(labels, doc_id, quality, sample), "quality-labels")
+    known = staged(known_labels(labels, doc_id, quality), "quality-labels")
     ratios = log_ratios(docs, known, doc_id, text, count)
     wide = with_words(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text")
     scored = staged(score(surface(wide), ratios).drop("text", "words", "hashes"), "quality-scores")

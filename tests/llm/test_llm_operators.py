@@ -480,3 +480,13 @@ def test_pipeline_stages_keep_columns_of_any_name(spark, tmp_path):
         if name == "personal_data":
             assert at.where("text like '%<EMAIL>%'").count() > 0 and at.where("n_chars <> length(text)").count() == 0
     assert all(r[n] == n for r in at.collect() for n in names)
+
+
+def test_quality_uses_every_label(spark):
+    from duelake.llm.quality import known_labels
+
+    labels = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    twice = labels.unionByName(labels.limit(10).withColumn("quality", F.lit(0).cast("long")))
+    known = known_labels(twice, "doc_id", "quality")
+    assert known.count() == 40_000  # it was 20,000, whatever the table's size
+    assert 15_000 < known.where("_fit").count() < 25_000
