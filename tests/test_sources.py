@@ -116,3 +116,22 @@ def test_every_order_becomes_a_document(spark, monkeypatch):
     out = operator_queries.json_documents_and_arrays({"orders": orders})
     assert parsed[0].count() == 3
     assert sorted((r.id, r.pos) for r in out.collect()) == [(-3, 0), (1, 0), (3, 1)]
+
+
+def test_single_object_scan_writes_an_object_a_row_and_no_folder_an_object(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from workload import job_queries
+
+    monkeypatch.setattr(job_queries, "shared_folder", lambda session, purpose: f"{tmp_path}/{purpose}")
+    ids = [1, 2, 2, None, None]
+    events = spark.createDataFrame([(i, f"e{n}") for n, i in enumerate(ids)], "id bigint, name string")
+
+    class Rows(dict):
+        pass
+
+    s = Rows(landing_events=events)
+    s.spark = spark
+    got = job_queries.single_object_scan(s).select(F.col("event_id").cast("long"), "name", "_pos").collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == [(i, f"e{n}", 0) for n, i in enumerate(ids)]
+    assert [p.name for p in tmp_path.rglob("*") if p.is_dir()] == ["landed", "events", "raw"]
