@@ -5,8 +5,9 @@ the trusted ones; a document's score is the mean, over its hashed n-grams, of th
 surface rules fail, or whose score is below the threshold, are not kept.  The threshold is the one that
 best separates labelled good from labelled poor documents which the trusted counts have not seen.
 
-Everything is built from DataFrame functions.  The corpus is read twice; what is shuffled is one row for
-each bucket and task, and a document's own work stays in its row.
+Everything is built from DataFrame functions.  The corpus is read three times, once for the trusted texts alone; what is
+shuffled is one row for each bucket and task, and the trusted texts, which are found by bits of their ids first.  All
+other work on a document stays in its row.
 
 All labels are used: of every labelled id either its text is counted as trusted or its score helps to set the
 threshold.  The raw counts, scores and rules cover every document.
@@ -28,6 +29,8 @@ WINDOW = 8
 CLEAN_WEIGHT = 10
 #: Width of the bins in which scores are counted to find the threshold.
 BIN = 0.002
+#: Bits that tell which texts may be trusted: 8 MB in all.
+ID_BITS = 2**26
 SPACES = " \t\n\x0b\f\r"
 
 
@@ -117,20 +120,53 @@ def known_labels(labels: DataFrame, doc_id: str, quality: str) -> DataFrame:
     )
 
 
+def _bucket_counts(docs: DataFrame, count: int) -> DataFrame:
+    """(``b``, ``n``): how often each bucket occurs in all texts."""
+    hashed = with_words(docs, "_text")
+    return hashed.select(F.explode(buckets(F.col("hashes"), count)).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
+
+
+def maybe_in(df: DataFrame, ids: DataFrame, column: str, id_column: str, bits: int = ID_BITS) -> DataFrame:
+    """The rows whose ``column`` may be among the ids: all that are, and a few others, so that a join moves little else.
+
+    Each id sets one of ``bits`` bits.  The bits have the same size for any number of ids and are broadcast; no row of
+    ``df`` is shuffled.  Ids of another type than the column's hash differently, so nothing is left out then.
+    """
+    if df.schema[column].dataType != ids.schema[id_column].dataType:
+        return df
+
+    def number(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(bits)) + 1
+
+    sets = ids.groupBy(F.bitmap_bucket_number(number(id_column)).alias("_bits_of")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number(id_column))).alias("_bits")
+    )
+    place = F.bitmap_bit_position(number(column))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    there = F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1
+    held = df.join(F.broadcast(sets), F.bitmap_bucket_number(number(column)) == F.col("_bits_of"))
+    return held.where(there).select(df.columns)
+
+
+def trusted_texts(source: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows of trusted ids, each of which is there once.
+
+    A semi-join would be planned below the filter by bits, and move every text.
+    """
+    return maybe_in(source, trusted, "_id", "_labelled").join(trusted, F.col("_id") == F.col("_labelled")).select(source.columns)
+
+
 def log_ratios(docs: DataFrame, known: DataFrame, doc_id: str, text: str, count: int) -> list[float]:
     """For each bucket log(trusted share / raw share), with one added to every count.
 
     The result has ``count`` numbers, whatever the corpus.
     """
     trusted = known.where((F.col("_good") == 1) & F.col("_fit")).select("_labelled")
-    counted = (
-        with_words(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), "_text")
-        .join(trusted, F.col("_id") == F.col("_labelled"), "left")
-        .select(F.col("_labelled").isNotNull().cast("long").alias("t"), F.explode(buckets(F.col("hashes"), count)).alias("b"))
-        .groupBy("b")
-        .agg(F.count("*").alias("raw"), F.sum("t").alias("trusted"))
-    )
-    rows = {r["b"]: (r["raw"], r["trusted"]) for r in counted.collect()}
+    source = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    chosen = trusted_texts(source, trusted)
+    rows = {b: (n, 0) for b, n in _bucket_counts(source, count).collect()}
+    for b, n in _bucket_counts(chosen, count).collect():
+        rows[b] = (rows[b][0], n)
     raw, good = (sum(pair[k] for pair in rows.values()) for k in (0, 1))
     if not good:
         return [0.0] * count

@@ -490,3 +490,31 @@ def test_quality_uses_every_label(spark):
     known = known_labels(twice, "doc_id", "quality")
     assert known.count() == 40_000  # it was 20,000, whatever the table's size
     assert 15_000 < known.where("_fit").count() < 25_000
+
+
+def test_quality_moves_only_texts_that_may_be_trusted(spark):
+    from duelake.llm.quality import log_ratios, maybe_in, trusted_texts
+
+    docs = spark.createDataFrame([(i if i % 50 else None, f"word{i % 7} word{i % 3} end") for i in range(1000)], "doc_id long, text string")
+    docs = docs.unionByName(docs.where("doc_id = 7"))
+    known = spark.createDataFrame([(7, 1, True), (8, 1, False), (9, 0, True), (77, 1, True), (5000, 1, True)], "_labelled long, _good int, _fit boolean")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large for it
+    try:
+        found = maybe_in(docs, known.where("_fit and _good = 1"), "doc_id", "_labelled")
+        assert {7, 77} <= {r.doc_id for r in found.collect()} and found.count() < 10
+        assert "SortMergeJoin" not in found._jdf.queryExecution().toString()
+        moved = trusted_texts(docs.withColumnsRenamed({"doc_id": "_id", "text": "_text"}), known.where("_fit and _good = 1").select("_labelled"))
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the texts are filtered before they are moved
+        assert sorted(r._id for r in moved.collect()) == [7, 7, 77]
+        ratios = log_ratios(docs, known, "doc_id", "text", 16)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    texts = spark.createDataFrame([("a", t) for t in ["word0 word1 end"] * 2 + ["word0 word2 end"]], "k string, text string")
+    wide = quality.with_words(texts, "text").select(F.explode(quality.buckets(F.col("hashes"), 16)).alias("b"))
+    trusted = {r.b: r["count"] for r in wide.groupBy("b").count().collect()}
+    wide = quality.with_words(docs, "text").select(F.explode(quality.buckets(F.col("hashes"), 16)).alias("b"))
+    raw = {r.b: r["count"] for r in wide.groupBy("b").count().collect()}
+    shift = math.log((sum(raw.values()) + 16) / (sum(trusted.values()) + 16))
+    assert ratios == pytest.approx([math.log((trusted.get(b, 0) + 1) / (raw.get(b, 0) + 1)) + shift for b in range(16)])
