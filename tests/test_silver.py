@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from duelake.plans import silver
 from duelake.record_types import raw_schema
@@ -187,3 +188,16 @@ def test_legacy_wide_table(spark):
     row = wide.clean.first()
     assert (row.event_id, row.team2_name, row.start_date, row.kills) == (9, "B", dt.date(2025, 1, 1), 2)
     assert wide.violations.count() == 1 and wide.series.first().event_id == 9
+
+
+def test_rows_that_meet_many_are_spread_over_the_tasks(spark):
+    from duelake.operators.joins import attach_all
+
+    facts = spark.range(400).selectExpr("if(id % 50 = 0, null, id % 20) as match_id", "id as n")
+    context = spark.range(4000).selectExpr("if(id % 70 = 0, null, id % 25) as match_id", "id as event_id")
+    found = attach_all(facts, context)
+    assert found.columns == ["match_id", "n", "event_id"]
+    assert found.exceptAll(facts.join(context, "match_id", "left").select(*found.columns)).count() == 0
+    assert found.count() == facts.join(context, "match_id", "left").count()
+    # Few bytes come in: all rows were made by one or two tasks.
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 8
