@@ -534,3 +534,21 @@ def test_order_of_a_clustered_table_is_counted_within_its_values(spark):
     wrong = got.where(F.col("position") != 100 - F.floor(F.col("id") / 40))
     assert got.count() == 4000 and wrong.count() == 0
     assert got.where(F.col("text").isNotNull()).count() == 0  # as a folder's name would have it
+
+
+def test_a_query_builds_only_the_layers_it_reads(monkeypatch):
+    from types import SimpleNamespace
+
+    from workload import job_queries
+
+    done = []
+    monkeypatch.setattr(job_queries, "lake", lambda s: "lake")
+    monkeypatch.setattr(job_queries, "landing", lambda s: None)
+    monkeypatch.setattr(job_queries, "_LAKES", {})
+    for step in ("run_backfill", "run_silver", "run_gold"):
+        monkeypatch.setattr(job_queries.jobs, step, lambda *_, step=step: done.append(step) or {"n": 1})
+    s = SimpleNamespace(spark=SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app")), directory="tables")
+    assert job_queries.backfilled(s) == ("lake", {"n": 1}) and done == ["run_backfill"]
+    assert job_queries.with_silver(s) == "lake" and done == ["run_backfill", "run_silver"]
+    assert job_queries.finished(s) == job_queries.finished(s) == "lake"
+    assert done == ["run_backfill", "run_silver", "run_gold"]
