@@ -552,3 +552,23 @@ def test_a_query_builds_only_the_layers_it_reads(monkeypatch):
     assert job_queries.with_silver(s) == "lake" and done == ["run_backfill", "run_silver"]
     assert job_queries.finished(s) == job_queries.finished(s) == "lake"
     assert done == ["run_backfill", "run_silver", "run_gold"]
+
+
+def test_payloads_are_built_by_many_tasks(spark, tmp_path):
+    from workload import payloads
+    from workload.shapes import Shapes
+
+    at = str(tmp_path)
+    tables = {
+        "region": "select 0L r_regionkey, 'R' r_name",
+        "nation": "select 0L n_nationkey, 'N' n_name, 0L n_regionkey",
+        "customer": "select id c_custkey, 0L c_nationkey from range(20)",
+        "orders": "select id o_orderkey, id % 20 o_custkey, timestamp'2024-01-01' o_orderdate, 'high' o_orderpriority, 'F' o_orderstatus from range(500)",
+    }
+    for name, text in tables.items():
+        spark.sql(text).coalesce(1).write.parquet(f"{at}/{name}.parquet")
+    for build in (payloads.series_payloads, payloads.map_payloads):
+        built = build(Shapes(spark, at))
+        assert sorted(r.match_id for r in built.select("match_id").collect()) == list(range(500))
+        # The table is one file, of one row group: one task built all of it.
+        assert built.select(F.spark_partition_id().alias("p")).distinct().count() > 8
