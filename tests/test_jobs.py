@@ -572,3 +572,21 @@ def test_payloads_are_built_by_many_tasks(spark, tmp_path):
         assert sorted(r.match_id for r in built.select("match_id").collect()) == list(range(500))
         # The table is one file, of one row group: one task built all of it.
         assert built.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+
+
+def test_objects_are_written_by_many_tasks(spark, tmp_path):
+    from duelake.session import many_tasks
+    from duelake.sinks.records import write_objects
+
+    records = spark.range(300).selectExpr("cast(id as string) record_key", "id event_id").coalesce(1)
+    sc = spark.sparkContext
+    sc.setJobGroup("objects", "objects")
+    try:
+        assert write_objects(records, str(tmp_path), "events") == 300
+        tracker = sc.statusTracker()
+        stages = [tracker.getStageInfo(n) for j in tracker.getJobIdsForGroup("objects") for n in tracker.getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    # Adaptive execution would let one task write all of them, by their few bytes.
+    assert max(s.numTasks for s in stages if s) == many_tasks(spark)
+    assert len(list((tmp_path / "events" / "raw").glob("*.json"))) == 300

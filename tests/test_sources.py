@@ -52,6 +52,26 @@ def test_single_object_reader_matches_on_objects(spark, tmp_path):
     assert read_single_objects(spark, str(tmp_path / "none"), SCHEMA).count() == 0
 
 
+def test_many_small_objects_are_read_by_few_tasks(spark, tmp_path):
+    from duelake.session import many_tasks
+
+    for i in range(1000):
+        put(tmp_path, f"{i % 10}/{i}", {"id": i})
+    df = read_documents(spark, str(tmp_path), SCHEMA)
+    df.write.parquet(f"{tmp_path}_compact")
+    # Spark puts some thirty objects in a task, and each task wrote a file of its own.
+    assert len(spark.read.parquet(f"{tmp_path}_compact").inputFiles()) <= many_tasks(spark) < 1000 / 32
+    assert sorted(int(r.id) for r in df.select("id").collect()) == list(range(1000))
+
+
+def test_a_compressed_object_fails(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(b'{"id": 1}'))
+    with pytest.raises(Exception):
+        read_documents(spark, str(tmp_path), SCHEMA).collect()
+
+
 def test_schema_discovery_sees_every_record(spark, tmp_path):
     put(tmp_path, "a", {"id": 1})
     put(tmp_path, "b", [{"id": 2, "late": True}])
