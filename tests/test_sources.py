@@ -64,12 +64,13 @@ def test_many_small_objects_are_read_by_few_tasks(spark, tmp_path):
     assert sorted(int(r.id) for r in df.select("id").collect()) == list(range(1000))
 
 
-def test_a_compressed_object_fails(spark, tmp_path):
+def test_a_compressed_object_is_unpacked_by_its_name(spark, tmp_path):
     import gzip
 
+    put(tmp_path, "b", {"id": 2})
     (tmp_path / "a.json.gz").write_bytes(gzip.compress(b'{"id": 1}'))
-    with pytest.raises(Exception):
-        read_documents(spark, str(tmp_path), SCHEMA).collect()
+    found = rows(read_documents(spark, str(tmp_path), SCHEMA).select("id", "_key"), "id")
+    assert [(i, key.rpartition("/")[2]) for i, key in found] == [("1", "a.json.gz"), ("2", "b.json")]
 
 
 def test_schema_discovery_sees_every_record(spark, tmp_path):
