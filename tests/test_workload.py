@@ -1,6 +1,14 @@
 """Payloads and chains of the workload over small rows of their own."""
 
+import datetime as dt
+
+import pytest
+
 from workload import payloads
+from workload.bronze_queries import Backfill, records
+from workload.shapes import Shapes
+from duelake.plans import bronze
+from __spark_entry__ import queries
 
 HEAD = "match_id bigint, fetch_seq bigint, name1 string, id1 string, name2 string, id2 string"
 
@@ -30,3 +38,46 @@ def test_map_payloads_by_position(spark):
         ("0", "0", "s1", "1", "41"), ("1", "1", "s1", "1", "41"), ("2", "2", "s2", "2", "41"), ("3", "3", "s2", "2", "41")]
     assert [t.score for t in second.teams] == ["12", "13"] and [t.is_winner for t in second.teams] == ["unsure", "unsure"]
     assert len(first.rounds) == 1 and len(found[2][0].rounds) == 3
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Forty orders of four customers, one line each."""
+    root = str(tmp_path_factory.mktemp("tables"))
+    day = dt.datetime(1999, 3, 1)
+    frames = {
+        "region": spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string"),
+        "nation": spark.createDataFrame([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": spark.createDataFrame(
+            [(i, f"c{i}", 0, 1.0, "MACHINERY") for i in range(1, 5)],
+            "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "supplier": spark.createDataFrame(
+            [(i, f"s{i}", 0, 1.0) for i in range(1, 5)], "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+        "part": spark.createDataFrame(
+            [(i, "a b", "B", "T", 1, 1.0) for i in range(1, 81)],
+            "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "orders": spark.createDataFrame(
+            [(i, 1 + i % 4, "F", 1.0, day, "P") for i in range(1, 41)],
+            "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": spark.createDataFrame(
+            [(i, i, 1 + i % 4, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", day) for i in range(1, 41)],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+    }
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_records_by_id_are_not_shuffled_to_meet_few_ids(spark, tables):
+    chain = Backfill(Shapes(spark, tables))
+    lazy = records(bronze.agent_stat_attempts(chain.shapes["landing_agent_stats"], chain.players))
+    expected = sorted(r.record_key for r in lazy.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+    try:
+        found = queries()["bronze_player_agent_stats"](spark, tables)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(r.record_key for r in found.collect()) == expected and expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
