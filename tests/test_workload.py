@@ -7,8 +7,10 @@ import pytest
 from workload import payloads
 from workload.bronze_queries import Backfill, records
 from workload.shapes import Shapes
+from duelake.operators.joins import last_context
 from duelake.plans import bronze
 from __spark_entry__ import queries
+from conftest import rows
 
 HEAD = "match_id bigint, fetch_seq bigint, name1 string, id1 string, name2 string, id2 string"
 
@@ -81,3 +83,10 @@ def test_records_by_id_are_not_shuffled_to_meet_few_ids(spark, tables):
         assert sorted(r.record_key for r in found.collect()) == expected and expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_context_behind_its_gate_has_a_measured_size(spark):
+    context = spark.createDataFrame([(i % 3, i, f"r{i}") for i in range(9)] + [(None, 9, "r9")], "match_id bigint, at int, region string")
+    found = last_context(context, "match_id", ["at"])
+    assert rows(found.select("match_id", "region"), "match_id") == [(0, "r6"), (1, "r7"), (2, "r8")]
+    assert "REBALANCE" in found._jdf.queryExecution().executedPlan().toString()
