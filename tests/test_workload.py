@@ -26,7 +26,8 @@ class Heads:
 
 def test_map_payloads_have_no_lambda_but_for_rounds(spark):
     plan = payloads.map_payloads(Heads(spark, [1]))._jdf.queryExecution().optimizedPlan().toString()
-    assert "lambda i_" not in plan and "transform(sequence(0, 3" not in plan
+    assert "lambdafunction(named_struct(round_number" in plan
+    assert "lambdafunction(named_struct(game_id" not in plan and "lambdafunction(named_struct(name" not in plan
 
 
 def test_map_payloads_by_position(spark):
@@ -72,8 +73,8 @@ def tables(spark, tmp_path_factory):
 
 
 def test_records_by_id_are_not_shuffled_to_meet_few_ids(spark, tables):
-    chain = Backfill(Shapes(spark, tables))
-    lazy = records(bronze.agent_stat_attempts(chain.shapes["landing_agent_stats"], chain.players))
+    shapes = Shapes(spark, tables)
+    lazy = records(bronze.agent_stat_attempts(shapes["landing_agent_stats"], Backfill(shapes).players))
     expected = sorted(r.record_key for r in lazy.collect())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
     try:
