@@ -64,6 +64,50 @@ def test_many_small_objects_are_read_by_few_tasks(spark, tmp_path):
     assert sorted(int(r.id) for r in df.select("id").collect()) == list(range(1000))
 
 
+def test_objects_are_listed_by_a_task_as_spark_lists_them(spark, tmp_path):
+    from duelake.sources.landed import decoded_key, object_keys
+
+    root = tmp_path / "events" / "raw"
+    for key in ("1_A/B", "a b", "a+b", "a%20b", "é#?", "_h", ".h", "_k=1", "_g/x", "_metadata_x/y"):
+        put(root, key, {"id": key})
+    (root / "empty.json").write_text("")
+    (root / "half.json._COPYING_").write_text("{")
+    by_spark = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(root))
+    wanted = sorted(r.k for r in by_spark.select(decoded_key().alias("k")).collect())
+    for prefix in (str(root), f"file://{root}", f"file:{root}/"):
+        df = read_documents(spark, prefix, SCHEMA)
+        assert sorted(r._key for r in df.select("_key").collect()) == wanted and len(wanted) == 7
+        # Spark's own listing holds every object in the driver.
+        assert "binaryFile" not in df._jdf.queryExecution().toString()
+    names = object_keys(spark, str(tmp_path), "events")
+    assert "binaryFile" not in names._jdf.queryExecution().toString()
+    assert sorted(r[0] for r in rows(names)) == sorted(["1_A/B", "a b", "a+b", "a b", "é#?", "_k=1", "_metadata_x/y"])
+    assert object_keys(spark, str(tmp_path), "series") is None
+
+
+def test_a_task_hands_large_objects_on_before_it_has_read_all(spark, tmp_path, monkeypatch):
+    from duelake.sources import landed
+
+    monkeypatch.setattr(landed, "READ_BYTES", 10)
+    for i in range(5):
+        put(tmp_path, str(i), {"id": i, "v": "x" * 20})
+    assert rows(read_documents(spark, str(tmp_path), SCHEMA).select("id"), "id") == [(str(i),) for i in range(5)]
+
+
+def test_an_object_appears_whole_and_takes_the_place_of_another(tmp_path):
+    from duelake.sources.files import ObjectWriter
+
+    with ObjectWriter(str(tmp_path)) as objects:
+        objects.put("a/1.json", b"old")
+        objects.put("a/1.json", b"new")
+        objects.put("2.json", b"two")
+    with pytest.raises(TypeError), ObjectWriter(str(tmp_path)) as objects:
+        objects.put("3.json", "no bytes")
+    assert (tmp_path / "a" / "1.json").read_bytes() == b"new"
+    # Neither half a file nor a hidden folder is left.
+    assert sorted(p.name for p in tmp_path.rglob("*")) == ["1.json", "2.json", "a"]
+
+
 def test_a_compressed_object_is_unpacked_by_its_name(spark, tmp_path):
     import gzip
 
