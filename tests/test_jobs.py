@@ -605,3 +605,62 @@ def test_a_single_run_with_distinct_keys_is_read_as_it_is(spark, lake, tmp_path)
     commits.commit(spark, str(tmp_path), "1", {"series": commits.attempts(spark, str(tmp_path), "series")["1"]}, distinct=["series"])
     write_keyed(records.where("record_key = 'b'"), str(tmp_path), "series", "2")
     assert windows(read_keyed(spark, str(tmp_path), "series"))
+
+
+def test_a_job_leaves_nothing_that_it_staged(spark, tmp_path, monkeypatch):
+    from dataclasses import replace
+    from pathlib import Path
+
+    from duelake.record_types import QUARANTINED
+
+    made = jobs.Lake(str(tmp_path), "t_tidy", "t_tidy_gold", run_ts="20250401T000000")
+    flagged = []
+    real = jobs.stage_flagged
+    monkeypatch.setattr(jobs, "stage_flagged", lambda df, path: flagged.append(path.rpartition("/")[2]) or real(df, path))
+    staged = Path(made.staging(spark).removeprefix("file:"))
+    jobs.run_backfill(spark, landing(spark), made)
+    assert not list(staged.rglob("*.parquet"))
+    # Of the others only the last record of each key is wanted.
+    assert sorted(flagged) == sorted(QUARANTINED)
+    jobs.run_silver(spark, made)
+    assert not list(staged.rglob("*.parquet"))
+    broken = landing(spark)
+    with pytest.raises(Exception, match="lost"):
+        jobs.ingest(spark, replace(broken, profiles=broken.profiles.withColumn("handle", F.raise_error(F.lit("lost")).cast("string"))), made)
+    assert not list(staged.rglob("*.parquet"))
+    rejected = tmp_path / "bronze" / "quarantine" / "player_stats"
+    assert list(rejected.rglob("*.json.gz")) and not list(rejected.rglob("*.json"))
+
+
+def test_a_type_without_a_valid_record_lands_nothing(spark, tmp_path):
+    from dataclasses import replace
+
+    made = jobs.Lake(str(tmp_path), run_ts="20250401T000000")
+    bad = landing(spark)
+    counts = jobs.ingest(spark, replace(bad, profiles=bad.profiles.withColumn("aliases", F.lit(None).cast("array<string>"))), made)
+    assert counts["player_profiles_valid"] == 0 and counts["team_info_valid"] > 0
+    assert read_keyed(spark, made.bronze, "player_profiles") is None
+    assert not list((tmp_path / "bronze" / "player_profiles").rglob("*.parquet"))
+
+
+def test_shuffle_files_go_with_the_query(spark):
+    import time
+
+    from duelake.session import shuffles_dropped
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(name) for name in found.mkString(chr(10)).split(chr(10)) if "shuffle" in name}
+
+    before = files()
+    query = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k"))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    with shuffles_dropped(spark):
+        assert query.count().count() == 7
+    assert spark.conf.get(key) == setting
+    for _ in range(50):
+        if files() <= before:
+            return
+        time.sleep(0.1)
+    raise AssertionError("shuffle files stay")
